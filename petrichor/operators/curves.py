@@ -31,7 +31,7 @@ def score_counts(df: DataFrame, score: str | Column, label: str | Column = "labe
 
 
 def running_counts(
-    df: DataFrame, score: str | Column, label: str | Column = "label", rows_per_range: int = 1_000_000
+    df: DataFrame, score: str | Column, label: str | Column = "label", rows_per_range: int = 250_000
 ) -> DataFrame:
     """(score, p, n, rn, tp, fp, scores, positives, negatives) per distinct
     score: its place from the top, the running counts down to it, and the
@@ -49,7 +49,8 @@ def running_counts(
         _, limits = sketch_quantiles(df, {"score": (column, steps)}, k=32_768)["score"]
         splits = [-math.inf, *sorted(set(limits)), math.inf]
         counts = Bucketizer(splits=splits, inputCol="score", outputCol="range").transform(counts)
-        counts = counts.withColumn("range", F.col("range").cast("int"))
+        # Never NULL; saying so lets both uses below share one shuffle.
+        counts = counts.withColumn("range", F.coalesce(F.col("range").cast("int"), F.lit(0)))
     else:
         counts = counts.withColumn("range", F.lit(0))
 
@@ -96,7 +97,7 @@ def curve(
     score: str | Column,
     label: str | Column = "label",
     num_bins: int = 0,
-    rows_per_range: int = 1_000_000,
+    rows_per_range: int = 250_000,
 ) -> DataFrame:
     """One row per point: (bin, score, p, n, tp, fp, fpr, tpr, precision,
     recall, positives, negatives), ``bin`` counting from the highest score.

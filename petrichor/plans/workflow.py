@@ -19,7 +19,7 @@ from ..operators.clean import (
 )
 from ..operators.encode import assembler, label_indexer, one_hot_encoder, string_indexer
 from ..operators.impute import DomainModeImputer, IqrCapImputer, ModeImputer
-from ..operators.split import split_by_key
+from ..operators.split import side_of, split_by_key
 from ..functions.columns import month_of
 from ..session import landed
 from ..sources.sinks import save_model
@@ -88,14 +88,20 @@ def train(
     weights: Sequence[float] = (0.7, 0.3),
     seed: int = 0,
 ) -> Trained:
-    """Split by key, clean both sides, fit on the first and score the second.
+    """Clean, split by key, fit on the first side and score the second.
 
-    The cleaned training rows are written once; the fitting passes then read
-    the columns they need from that table.
+    Rows with equal keys share a side, so cleaning before the split keeps the
+    same rows as cleaning each side. The cleaned rows are written once, by
+    side; the fitting passes then read the columns they need from there.
     """
-    sides = split_by_key(select_and_null(df, features), features.keys, weights, seed)
-    audits = tuple(cleaning_audit(side, features.keys, features.label) for side in sides[:2])
-    train_rows, test_rows = (landed(clean(side, features), "clean") for side in sides[:2])
+    nulled = select_and_null(df, features)
+    audits = tuple(
+        cleaning_audit(side, features.keys, features.label)
+        for side in split_by_key(nulled, features.keys, weights, seed)[:2]
+    )
+    sided = clean(df, features).withColumn("_side", side_of(features.keys, weights, seed))
+    rows = landed(sided, "clean", partition_by="_side")
+    train_rows, test_rows = (rows.filter(F.col("_side") == i).drop("_side") for i in (0, 1))
     model = pipeline(features, learner).fit(train_rows)
     if model_path:
         save_model(model, model_path)

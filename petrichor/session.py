@@ -40,14 +40,15 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def landed(df: DataFrame, purpose: str = "table") -> DataFrame:
+def landed(df: DataFrame, purpose: str = "table", partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet and read it back.
 
     This cuts the lineage, survives lost executors, and gives later passes
     column pruning and true size statistics, so that Catalyst broadcasts the
     table only when its files are below ``autoBroadcastJoinThreshold``.
+    Filters on ``partition_by`` then skip the files of the other values.
     """
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
-    df.write.parquet(path)
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
