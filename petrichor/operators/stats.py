@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -105,12 +107,9 @@ class _Target:
         return self.upto - self.below
 
     def interior(self) -> Column:
-        found = self.value
-        if self.low is not None:
-            found = F.when(found > self.low, found)
-        if self.high is not None:
-            found = F.when(found < self.high, found)
-        return found
+        limits = [] if self.low is None else [self.value > self.low]
+        limits += [] if self.high is None else [self.value < self.high]
+        return F.when(reduce(and_, limits, self.value.isNotNull()), self.value)
 
     def narrow(self, first: Sequence[int], second: Sequence[int]) -> None:
         """Settle, or shrink the interval, from the (less, less-or-equal)
@@ -125,6 +124,57 @@ class _Target:
             self.low, self.below = bound, upto
 
 
+def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(id, value): one row per column and value, ``id`` being its place."""
+    pairs = [x for i, c in enumerate(columns) for x in (F.lit(i), F.col(c))]
+    return df.select(F.stack(F.lit(len(columns)), *pairs).alias("id", "value")).filter("value is not null")
+
+
+def _of_column(values: Sequence[float | None]) -> Column:
+    """The constant that belongs to the column of a ``_long`` row."""
+    return F.get(F.array(*[F.lit(v).cast("double") for v in values]), F.col("id"))
+
+
+def _count_bounds(df: DataFrame, columns: list[str], slots: list[list[_Target | None]]) -> None:
+    """Narrow every target by the number of values below and up to its bounds."""
+    value = F.col("value")
+    tests = []
+    for slot in slots:
+        for side in (0, 1):
+            bound = _of_column([t.bounds[side] if t else None for t in slot])
+            tests += [F.count_if(value < bound), F.count_if(value <= bound)]
+    counted = _long(df, columns).groupBy("id").agg(F.array(*tests).alias("counts"))
+    for row in counted.collect():
+        for j, slot in enumerate(slots):
+            if target := slot[row["id"]]:
+                a, b, c, d = row["counts"][4 * j : 4 * j + 4]
+                target.narrow((a, b), (c, d))
+
+
+def _pick_inside(df: DataFrame, columns: list[str], slots: list[list[_Target | None]]) -> None:
+    """Settle every target from the sorted values inside its interval."""
+    value, nothing = F.col("value"), (math.inf, -math.inf)
+    inside = []
+    for slot in slots:
+        low, high = zip(*[(t.low, t.high) if t else nothing for t in slot])
+        above, below = value > _of_column(low), value < _of_column(high)
+        inside.append(F.coalesce(above, F.lit(True)) & F.coalesce(below, F.lit(True)))
+    found = _long(df, columns).filter(reduce(or_, inside))
+    places = F.array_compact(F.array(*[F.when(test, F.lit(j)) for j, test in enumerate(inside)]))
+    place = F.get(
+        F.array(*[F.lit(t.rank - t.below - 1 if t else None).cast("int") for slot in slots for t in slot]),
+        F.col("slot") * len(columns) + F.col("id"),
+    )
+    picked = (
+        found.select("id", "value", F.explode(places).alias("slot"))
+        .groupBy("id", "slot")
+        .agg(F.sort_array(F.collect_list("value")).alias("values"))
+        .select("id", "slot", F.get("values", place).alias("answer"))
+    )
+    for row in picked.collect():
+        slots[row["slot"]][row["id"]].answer = row["answer"]
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -146,12 +196,13 @@ def exact_quantiles(
 
     NULL and NaN do not count. A column without values yields ``None``s.
     """
-    values = {c: nan_to_null(c) for c in columns}
-    targets = [_Target(c, p, values[c]) for c in columns for p in probs]
-    margin = 2 * 2.296 / k**0.9021  # twice the rank error of the sketch
+    df = df.select(*[nan_to_null(c).alias(c) for c in columns])
+    targets = [_Target(c, p, F.col(c)) for c in columns for p in probs]
+    # Twice the rank error of the sketch; less if that would hardly narrow.
+    margin = min(0.2, 2 * 2.296 / k**0.9021)
 
     spread = [_clip(p + d) for p in probs for d in (-margin, margin)]
-    sketches = sketch_quantiles(df, {c: (values[c], spread) for c in columns}, k)
+    sketches = sketch_quantiles(df, {c: (F.col(c), spread) for c in columns}, k)
     for i, t in enumerate(targets):
         n, bounds = sketches[t.column]
         if n:
@@ -160,18 +211,13 @@ def exact_quantiles(
             t.bounds = (bounds[j], bounds[j + 1])
     open_targets = [t for t in targets if t.rank]
 
+    def by_column(wanted: list[_Target]) -> tuple[list[str], list[list[_Target | None]]]:
+        names = list(dict.fromkeys(t.column for t in wanted))
+        place = {(t.column, t.prob): t for t in wanted}
+        return names, [[place.get((c, p)) for c in names] for p in probs]
+
     while open_targets:
-        counts = df.agg(
-            *[
-                F.count_if(test)
-                for t in open_targets
-                for b in t.bounds
-                for test in (t.value < b, t.value <= b)
-            ]
-        ).first()
-        for i, t in enumerate(open_targets):
-            a, b, c, d = counts[4 * i : 4 * i + 4]
-            t.narrow((a, b), (c, d))
+        _count_bounds(df, *by_column(open_targets))
         open_targets = [t for t in open_targets if t.answer is None]
         if all(t.inside <= finish_rows for t in open_targets):
             break
@@ -187,14 +233,7 @@ def exact_quantiles(
 
     if open_targets:
         # At most finish_rows values for each target, as counted above.
-        picked = df.agg(
-            *[
-                F.get(F.sort_array(F.collect_list(t.interior())), F.lit(t.rank - t.below - 1))
-                for t in open_targets
-            ]
-        ).first()
-        for t, found in zip(open_targets, picked):
-            t.answer = found
+        _pick_inside(df, *by_column(open_targets))
 
     found = iter(targets)
     return {c: [next(found).answer for _ in probs] for c in columns}
