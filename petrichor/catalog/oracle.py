@@ -130,6 +130,57 @@ def _chi(feature: str) -> str:
   (SELECT CAST((count(DISTINCT v) - 1) * (count(DISTINCT t) - 1) AS INTEGER) FROM x WHERE f = '{feature}') AS degrees_of_freedom"""
 
 
+_SIDE = """CASE WHEN CAST('0x' || substr(md5('0|' || CAST(l_orderkey AS VARCHAR) || '|' ||
+  CAST(l_linenumber AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0 < 0.7 THEN 'train' ELSE 'test' END"""
+
+_ORDER = ", ".join(
+    f"{c} ASC NULLS FIRST"
+    for c in (*ROW.split(", "), "obs_date", "location", "price", "quantity", "flag", "code", "target")
+)
+
+# One row per order line, with a class, the sentinel nulled, the month, a side.
+_SIDES = f"""nulled AS (SELECT * REPLACE (nullif(flag, 'NA') AS flag, nullif(target, 'NA') AS target,
+  nullif(obs_date, 'NA') AS obs_date, nullif(location, 'NA') AS location) FROM obs),
+placed AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_ORDER}) AS nth FROM nulled),
+sided AS (SELECT * EXCLUDE (nth), {MONTH} AS "Month", {_SIDE} AS side FROM placed
+  WHERE nth = 1 AND target IS NOT NULL)"""
+
+
+def _train_codes(column: str) -> str:
+    value = f"CAST({column} AS VARCHAR)"
+    return (
+        f"SELECT {value} AS v, CAST(row_number() OVER (ORDER BY {value} DESC) - 1 AS DOUBLE) AS i "
+        f"FROM filled WHERE side = 'train' GROUP BY 1"
+    )
+
+
+def _train_cap(column: str) -> str:
+    q1, q2, q3 = (
+        f"(SELECT quantile_disc({column}, {p}) FROM sided WHERE side = 'train')" for p in (0.25, 0.5, 0.75)
+    )
+    return (
+        f"CASE WHEN {column} IS NULL THEN {q2} WHEN {column} > {q3} + 1.5 * ({q3} - {q1}) THEN {q3} + 1.5 * ({q3} - {q1}) "
+        f"WHEN {column} < {q1} - 1.5 * ({q3} - {q1}) THEN {q1} - 1.5 * ({q3} - {q1}) ELSE {column} END"
+    )
+
+
+def _train_mode(column: str) -> str:
+    return (
+        f"(SELECT {column} FROM sided WHERE side = 'train' AND {column} IS NOT NULL "
+        f"GROUP BY 1 ORDER BY count(*) DESC, CAST({column} AS VARCHAR) LIMIT 1)"
+    )
+
+
+_PREPARED = f""", {_SIDES},
+filled AS (SELECT {ROW}, side, "Month", location, target, coalesce(flag, {_train_mode('flag')}) AS flag,
+  CASE WHEN code BETWEEN 0 AND 8 THEN code ELSE {_train_mode('code')} END AS code,
+  {_train_cap('price')} AS price, {_train_cap('quantity')} AS quantity FROM sided),
+m AS ({_train_codes('"Month"')}), l AS ({_train_codes('location')}), f AS ({_train_codes('flag')}),
+t AS (SELECT target AS v, CAST(row_number() OVER (ORDER BY target) - 1 AS DOUBLE) AS i FROM filled WHERE side = 'train' GROUP BY 1)
+SELECT {ROW}, code, t.i AS label, price AS f0, quantity AS f1, m.i AS f2, l.i AS f3, f.i AS f4
+FROM filled JOIN m ON CAST("Month" AS VARCHAR) = m.v JOIN l ON location = l.v JOIN f ON flag = f.v JOIN t ON target = t.v
+WHERE side = 'test'"""
+
 ORACLE: dict[str, str] = {
     # Scans and cleaning
     "csv_scan_typed": _obs(
@@ -166,6 +217,9 @@ FROM counts"""
         f"""SELECT {ROW}, CASE WHEN CAST('0x' || substr(md5('0|' || CAST(l_orderkey AS VARCHAR) || '|' ||
   CAST(l_linenumber AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0 < 0.7 THEN 'train' ELSE 'test' END AS side FROM obs"""
     ),
+    "split_random": _obs("SELECT * FROM obs"),
+    "clean_and_split": _obs(f", {_SIDES} SELECT * FROM sided"),
+    "prepare_features": _obs(_PREPARED),
     # Statistics and imputation
     "value_counts": _obs("SELECT flag AS value, count(*) AS n FROM obs GROUP BY 1"),
     "mode_per_column": _obs(_modes(["flag", "target", "location", "code", "obs_date"])),
@@ -257,6 +311,10 @@ FROM src JOIN lm ON CAST(src."Month" AS VARCHAR) = lm.value JOIN ll ON location
     "tokenize_counts": r"""SELECT doc_id, CAST(CASE WHEN text = '' THEN 1
   WHEN regexp_full_match(text, '[ \t\n\x0B\f\r]+') THEN 0
   ELSE len(string_split_regex(regexp_replace(lower(text), '[ \t\n\x0B\f\r]+$', ''), '[ \t\n\x0B\f\r]')) END AS INTEGER) AS n_words
+FROM documents""",
+    "hashing_tf": r"""SELECT doc_id, CAST(CASE WHEN text = '' THEN 1
+  WHEN regexp_full_match(text, '[ \t\n\x0B\f\r]+') THEN 0
+  ELSE len(string_split_regex(regexp_replace(lower(text), '[ \t\n\x0B\f\r]+$', ''), '[ \t\n\x0B\f\r]')) END AS BIGINT) AS n_terms
 FROM documents""",
     # Evaluation
     "accuracy_error": _scored(

@@ -98,10 +98,30 @@ def split_by_key(spark, folder):
 
 @_query
 def split_random(spark, folder):
+    """Both sides together: every row once, none lost. Which side a row falls
+    on is Spark's to draw."""
     train, test = split.split_random(observations(spark, folder), [0.7, 0.3], seed=0)
+    return train.unionByName(test)
+
+
+@_query
+def clean_and_split(spark, folder):
+    """The training and test rows a training run starts from."""
+    train, test = workflow.clean_sides(observations(spark, folder), OBS_FEATURES)
     return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
 
 
+@_query
+def prepare_features(spark, folder):
+    """Test rows as vectors, with the values and codes of the training rows."""
+    train, test = workflow.clean_sides(observations(spark, folder), OBS_FEATURES)
+    stages = [*workflow.preparation_stages(OBS_FEATURES), encode.label_indexer("target", OBS_FEATURES.label_order)]
+    prepared = Pipeline(stages=stages).fit(train).transform(test)
+    vector = vector_to_array(F.col("features"))
+    width = len(OBS_FEATURES.vector_inputs)
+    return prepared.select(*ROW, "code", "label", *[F.get(vector, F.lit(i)).alias(f"f{i}") for i in range(width)])
+
+
 # Statistics and imputation --------------------------------------------------
 
 
@@ -274,9 +294,7 @@ def hashing_tf(spark, folder):
     documents = table(spark, folder, "documents").select("doc_id", "text")
     counts = vector_to_array(F.col("features"))
     return encode.term_frequencies(documents, "text", buckets=1024).select(
-        "doc_id",
-        F.aggregate(counts, F.lit(0.0), lambda a, x: a + x).cast("long").alias("n_terms"),
-        F.size(F.filter(counts, lambda x: x > 0)).alias("n_buckets"),
+        "doc_id", F.aggregate(counts, F.lit(0.0), lambda a, x: a + x).cast("long").alias("n_terms")
     )
 
 

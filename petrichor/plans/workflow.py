@@ -41,6 +41,20 @@ def clean(df: DataFrame, features: FeatureSet, labelled: bool = True) -> DataFra
     return df.withColumn(features.month, month_of(features.date)) if features.date else df
 
 
+def clean_sides(
+    df: DataFrame, features: FeatureSet, weights: Sequence[float] = (0.7, 0.3), seed: int = 0
+) -> list[DataFrame]:
+    """Cleaned rows, split by key.
+
+    Rows with equal keys share a side, so cleaning before the split keeps the
+    same rows as cleaning each side. They are written once, by side; the
+    fitting passes then read the columns they need from there.
+    """
+    sided = clean(df, features).withColumn("_side", side_of(features.keys, weights, seed))
+    rows = landed(sided, "clean", partition_by="_side")
+    return [rows.filter(F.col("_side") == i).drop("_side") for i in range(len(weights))]
+
+
 def preparation_stages(features: FeatureSet) -> list[Estimator]:
     """Imputation, encoding and assembly, learned from the training rows."""
     stages: list[Estimator] = []
@@ -88,20 +102,13 @@ def train(
     weights: Sequence[float] = (0.7, 0.3),
     seed: int = 0,
 ) -> Trained:
-    """Clean, split by key, fit on the first side and score the second.
-
-    Rows with equal keys share a side, so cleaning before the split keeps the
-    same rows as cleaning each side. The cleaned rows are written once, by
-    side; the fitting passes then read the columns they need from there.
-    """
+    """Clean, split by key, fit on the first side and score the second."""
     nulled = select_and_null(df, features)
     audits = tuple(
         cleaning_audit(side, features.keys, features.label)
         for side in split_by_key(nulled, features.keys, weights, seed)[:2]
     )
-    sided = clean(df, features).withColumn("_side", side_of(features.keys, weights, seed))
-    rows = landed(sided, "clean", partition_by="_side")
-    train_rows, test_rows = (rows.filter(F.col("_side") == i).drop("_side") for i in (0, 1))
+    train_rows, test_rows = clean_sides(df, features, weights, seed)
     model = pipeline(features, learner).fit(train_rows)
     if model_path:
         save_model(model, model_path)
