@@ -146,22 +146,32 @@ def chi_square(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
         .groupBy("feature", "value", "_label")
         .agg(F.count("*").cast("double").alias("o"))
     )
-    whole, row, column = (Window.partitionBy("feature", *by) for by in ([], ["value"], ["_label"]))
-    margins = cells.select(
-        "feature",
-        "value",
-        "_label",
-        "o",
-        F.sum("o").over(row).alias("r"),
-        F.sum("o").over(column).alias("c"),
-        F.sum("o").over(whole).alias("n"),
+    # Written once: the cells feed two counts, and the class totals, one row
+    # per feature and class, are then of a known size for the join.
+    cells = landed(cells, "cells")
+    of_feature = Window.partitionBy("feature")
+    classes = landed(
+        cells.groupBy("feature", "_label")
+        .agg(F.sum("o").alias("c"))
+        .select("feature", "_label", "c", F.sum("c").over(of_feature).alias("n"), F.count("*").over(of_feature).alias("labels")),
+        "classes",
+    )
+    # All cells of one category meet in one task: one row per class.
+    by_value = cells.withColumn("r", F.sum("o").over(Window.partitionBy("feature", "value"))).join(
+        classes, ["feature", "_label"]
     )
-    values, labels = F.count_distinct("value"), F.count_distinct("_label")
     expected = F.col("r") * F.col("c") / F.col("n")
-    occurring = F.sum((F.col("o") - expected) * (F.col("o") - expected) / expected)
-    empty = F.when(F.count("*") < values * labels, F.max("n") - F.sum(expected)).otherwise(0.0)
-    return margins.groupBy("feature").agg(
-        (occurring + empty).alias("statistic"),
+    per_value = by_value.groupBy("feature", "value").agg(
+        F.sum((F.col("o") - expected) * (F.col("o") - expected) / expected).alias("part"),
+        F.sum(expected).alias("expected"),
+        F.count("*").alias("cells"),
+        F.max("n").alias("n"),
+        F.max("labels").alias("labels"),
+    )
+    values, labels = F.count("*"), F.max("labels")
+    empty = F.when(F.sum("cells") < values * labels, F.max("n") - F.sum("expected")).otherwise(0.0)
+    return per_value.groupBy("feature").agg(
+        (F.sum("part") + empty).alias("statistic"),
         ((values - 1) * (labels - 1)).cast("int").alias("degrees_of_freedom"),
     )
 
