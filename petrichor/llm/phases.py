@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import shutil
 import tempfile
+import time
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,6 +56,8 @@ class Phases:
         self.release()
 
     def release(self) -> None:
-        """Shuffle files go once the driver has collected the plans that own them."""
-        gc.collect()
-        self.spark._jvm.System.gc()
+        """Shuffle files go once the driver has collected the plans that own them: first Python's handles, then the JVM's."""
+        for _ in range(2):
+            gc.collect()
+            self.spark._jvm.System.gc()
+            time.sleep(0.3)
