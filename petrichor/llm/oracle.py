@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from .quality_rules import _UPPER, Limits
+
 #: Words are runs of bytes other than space and 0x09-0x0D.
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+_L = Limits()
+
 ORACLE: dict[str, str] = {
     "op2_substring_dedup": f"""
 WITH docs AS (SELECT doc_id, {_WORDS} AS words FROM documents),
@@ -25,5 +29,36 @@ kept AS (
 )
 SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
 FROM docs d LEFT JOIN kept k ON k.doc_id = d.doc_id
+""",
+    "op9_quality_rules": f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS words FROM documents),
+windows AS (
+  SELECT doc_id, place, array_to_string(words[place:place + 4], ' ') AS w
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS place FROM docs WHERE len(words) >= 5)
+),
+again AS (SELECT doc_id, place FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, w) AS n FROM windows) WHERE n > 1),
+repeats AS (
+  SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest(range(place, place + 5)) AS place FROM again) GROUP BY doc_id
+),
+lines AS (
+  SELECT doc_id, count(*) AS n, count(*) - count(DISTINCT line) AS dup
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs)
+  WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id
+),
+base AS (
+  SELECT d.doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+    (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+    coalesce(l.dup, 0)::BIGINT AS n_dup_lines, coalesce(l.n, 0) AS n_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words,
+    length(text) - length(replace(text, '!', '')) AS bangs,
+    length(text) - length(regexp_replace(text, '[{_UPPER}]', '', 'g')) AS uppers
+  FROM docs d LEFT JOIN lines l USING (doc_id) LEFT JOIN repeats r USING (doc_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < {_L.min_words} OR 100 * n_repeat_words > {_L.repeat_percent} * n_words AS base_failed,
+  NOT (n_words < {_L.min_words} OR 100 * n_repeat_words > {_L.repeat_percent} * n_words)
+    AND n_symbols <= {_L.symbols_per_word}::DOUBLE * n_words AND bangs <= {_L.bangs_per_word}::DOUBLE * n_words
+    AND uppers <= {_L.upper_share}::DOUBLE * word_chars AND n_dup_lines <= {_L.dup_line_share}::DOUBLE * n_lines
+    AND word_chars >= {_L.word_chars[0]}::DOUBLE * n_words AND word_chars <= {_L.word_chars[1]}::DOUBLE * n_words AS kept
+FROM base
 """,
 }

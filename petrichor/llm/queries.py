@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.tables import table
-from . import simhash_dedup, substring_dedup
+from . import language_id, quality_rules, simhash_dedup, substring_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -18,6 +18,15 @@ def _query(fn: Query) -> Query:
     return fn
 
 
+def _remainder(base: int):
+    return F.crc32(F.col("doc_id").cast("string")) % base
+
+
+@_query
+def op1_language_id(spark, folder):
+    return language_id.identify(table(spark, folder, "documents"), held_out=_remainder(3) == 1)
+
+
 @_query
 def op2_substring_dedup(spark, folder):
     rows = substring_dedup.remove_repeated_words(table(spark, folder, "documents"))
@@ -28,3 +37,25 @@ def op2_substring_dedup(spark, folder):
 def op6_simhash_dedup(spark, folder):
     rows = simhash_dedup.near_duplicates(table(spark, folder, "documents"))
     return rows.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@_query
+def op8_toxicity(spark, folder):
+    return toxicity.score_toxicity(
+        table(spark, folder, "documents"), table(spark, folder, "labels"), held_out=_remainder(4) == 2
+    )
+
+
+@_query
+def op9_quality_rules(spark, folder):
+    rows = quality_rules.judged(table(spark, folder, "documents"))
+    return rows.select(
+        "doc_id",
+        F.col("__q_n").alias("n_words"),
+        F.col("__q_chars").alias("word_chars"),
+        F.col("__q_symbols").alias("n_symbols"),
+        F.col("__q_dup_lines").alias("n_dup_lines"),
+        F.col("__q_repeat").alias("n_repeat_words"),
+        F.col("__q_base_failed").alias("base_failed"),
+        F.col("__q_kept").alias("kept"),
+    )
