@@ -60,5 +60,46 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     AND uppers <= {_L.upper_share}::DOUBLE * word_chars AND n_dup_lines <= {_L.dup_line_share}::DOUBLE * n_lines
     AND word_chars >= {_L.word_chars[0]}::DOUBLE * n_words AND word_chars <= {_L.word_chars[1]}::DOUBLE * n_words AS kept
 FROM base
+""",
+    "op4_embedding_dedup": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+),
+good AS (SELECT *, sqrt(list_dot_product(e, e)) AS norm FROM v WHERE list_count(e) = len(e)),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE a.norm > 0 AND b.norm > 0 AND isfinite(a.norm) AND isfinite(b.norm) AND list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.93
+),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id)::BIGINT AS n_links,
+  r.component_id, e.vec_id = r.component_id AS kept
+FROM embeddings e JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON r.a = e.vec_id
+""",
+    "op10_suffix_dedup": """
+WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS hx FROM documents),
+starts AS (
+  SELECT doc_id, place, substr(hx, 2 * place + 1, 100) AS w
+  FROM (SELECT doc_id, hx, unnest(range(0, length(hx) // 2 - 49)) AS place FROM docs WHERE length(hx) >= 100)
+),
+firsts AS (SELECT w, min(doc_id) AS first FROM starts GROUP BY w HAVING min(doc_id) < max(doc_id)),
+hits AS (SELECT doc_id, place FROM starts JOIN firsts USING (w) WHERE doc_id > first),
+runs AS (
+  SELECT doc_id, min(place) AS lo, max(place) + 50 AS hi
+  FROM (SELECT *, sum(CASE WHEN place <= before + 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY place) AS run
+    FROM (SELECT *, coalesce(lag(place) OVER (PARTITION BY doc_id ORDER BY place), -100) AS before FROM hits))
+  GROUP BY doc_id, run
+),
+edges AS (
+  SELECT doc_id, lo, hi, lag(hi, 1, 0) OVER (PARTITION BY doc_id ORDER BY lo) AS since, row_number() OVER (PARTITION BY doc_id ORDER BY lo DESC) AS back FROM runs
+),
+kept AS (
+  SELECT doc_id, sum(hi - lo)::BIGINT AS n_removed, count(*) AS n_spans,
+    string_agg(substr(hx, 2 * since + 1, 2 * (lo - since)), '' ORDER BY lo) || max(CASE WHEN back = 1 THEN substr(hx, 2 * hi + 1) END) AS body
+  FROM edges JOIN docs USING (doc_id) GROUP BY doc_id
+)
+SELECT d.doc_id, (length(hx) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(body, hx))) AS kept_sha256
+FROM docs d LEFT JOIN kept k ON k.doc_id = d.doc_id
 """,
 }

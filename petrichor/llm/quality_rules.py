@@ -120,7 +120,7 @@ def cascade_order(sample: DataFrame, checks: dict[str, Column]) -> list[str]:
     return sorted(gain, key=lambda name: (-gain[name], name))
 
 
-def judged(docs: DataFrame, limits: Limits = Limits(), sample_rows: int = 2000, text: str = "text") -> DataFrame:
+def judged(docs: DataFrame, limits: Limits = Limits(), sample_rows: int = 1000, text: str = "text") -> DataFrame:
     """``docs`` with ``__q_*`` measures, ``__q_base_failed``, ``__q_rule`` and ``__q_kept``.
 
     ``__q_rule`` names the first rule of the cascade that rejected the row (null
@@ -132,7 +132,10 @@ def judged(docs: DataFrame, limits: Limits = Limits(), sample_rows: int = 2000,
     from; no verdict depends on them.
     """
     checks = rules(limits)
-    sample = Phases(docs.sparkSession, "quality").land(measured(docs.select(text).limit(sample_rows), text), "sample")
+    spark, sample = docs.sparkSession, docs.select(text)
+    # collecting a limit reads as few partitions as hold that many rows; a limit inside a plan would read from each
+    sample = spark.createDataFrame(sample.limit(sample_rows).collect(), sample.schema)
+    sample = Phases(spark, "quality").land(measured(sample, text), "sample")
     order = cascade_order(sample, checks)
     out = measured(docs, text).withColumn("__q_base_failed", base_failed(limits))
     chain = F.when(F.col("__q_base_failed"), F.lit(None).cast("string"))
