@@ -64,8 +64,9 @@ def fit_model(docs: DataFrame, labelled: DataFrame, per_domain: int = 2000, doma
     share = F.create_map(*[F.lit(v) for r in counts for v in (r["domain"], min(1.0, per_domain / r["count"]))])
     draw = F.expr("pmod(xxhash64(doc_id, 17), 1000003)") / 1000003
     chosen = marks.where(draw < F.coalesce(F.try_element_at(share, F.col("domain")), F.lit(0.0)))
-    sample = docs.select("doc_id", stems(words_of(F.col("text"))).alias("stems")).join(chosen, "doc_id")
-    sample = phases.land(sample.where("size(stems) > 0").select("domain", "stems"), "sample")
+    chosen = F.broadcast(chosen.limit(2 * per_domain * domains))  # at most so many ids are sent
+    sample = docs.select("doc_id", "text").join(chosen, "doc_id").select("domain", stems(words_of(F.col("text"))).alias("stems"))
+    sample = phases.land(sample.where("size(stems) > 0"), "sample")
     rows = {r["domain"]: r["count"] for r in sample.groupBy("domain").count().collect()}
     if not rows:
         return None
