@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .phases import Phases
 from .suffix_sort import deep_shallow
-from .words import CODES, chunks, mix, rolling, text_array
+from .words import CODES, POWERS, chunks, mix, rolling, text_array
 
 #: Classes of one gram that are sorted in one task; a gram with more is dealt into tiles and merged by range.
 TILE_CLASSES = 4096
@@ -73,7 +73,7 @@ def _grams(length: int):
 
 
 def _segments(length: int):
-    """Runs whose gram is among the row's ``grams``, with 96 bits of a hash of their bytes and the bytes themselves."""
+    """Runs whose gram is among the row's ``grams``, with 96 bits of a hash of their bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -85,11 +85,7 @@ def _segments(length: int):
                 salt = mix(np.arange(hi - lo, dtype=np.uint64))
                 ok = np.isin(h ^ salt[row], part.flatten().to_numpy(False).view(np.uint64) ^ salt[known])
                 row, start, n, h = row[ok], start[ok], n[ok], h[ok]
-                size = n + length - 1
-                begin = np.cumsum(size) - size
-                index = np.arange(int(size.sum())) + np.repeat(start + offsets[:-1][row] - begin, size)
-                body = data[index]
-                digest = [_digest(body, begin, size, f) if len(begin) else np.zeros(0, np.uint64) for f in (0, 1)]
+                digest = [_digest(data, start + offsets[:-1][row], n + length - 1, f) for f in (0, 1)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(digest[0].view(np.int64)),
@@ -98,20 +94,42 @@ def _segments(length: int):
                         pa.array(ids[lo:hi][row]),
                         pa.array(tags[lo:hi][row] | start),
                         pa.array(n.astype(np.int32)),
-                        text_array(body, np.append(begin, len(body)), binary=True),
                     ],
-                    ["h", "g", "gram", "doc_id", "slot", "n", "bytes"],
+                    ["h", "g", "gram", "doc_id", "slot", "n"],
                 )
 
     return run
 
 
-def _digest(body: np.ndarray, begin: np.ndarray, size: np.ndarray, family: int) -> np.ndarray:
-    from .words import POWERS
+def _digest(data: np.ndarray, begin: np.ndarray, size: np.ndarray, family: int) -> np.ndarray:
+    """A hash of each span of bytes, from running sums."""
+    up, down = POWERS[family].get(len(data))
+    total = np.append(np.zeros(1, np.uint64), np.cumsum(CODES[family][data] * up))
+    return mix((total[begin + size] - total[begin]) * (down[begin] if len(begin) else np.zeros(0, np.uint64)) + size.astype(np.uint64))
 
-    place = np.arange(len(body)) - np.repeat(begin, size)
-    up, _ = POWERS[family].get(int(size.max()))
-    return mix(np.add.reduceat(CODES[family][body] * up[place], begin) + size.astype(np.uint64))
+
+def _bytes_of(length: int):
+    """The bytes of the row's listed ``runs``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, tags, lists = batch["doc_id"].to_numpy(False), batch["tag"].to_numpy(False), batch["runs"]
+            for lo, hi, data, offsets in chunks(batch["text"]):
+                part = lists.slice(lo, hi - lo)
+                row = np.repeat(np.arange(hi - lo), part.value_lengths().fill_null(0).to_numpy(False))
+                flat = {f: x.to_numpy(False) for f, x in zip(("slot", "n", "gram", "tile", "tiles"), part.flatten().flatten())}
+                mine = (flat["slot"] >> 48) << 48 == tags[lo:hi][row]
+                row, flat = row[mine], {f: x[mine] for f, x in flat.items()}
+                size = flat["n"].astype(np.int64) + length - 1
+                bounds = np.append(0, np.cumsum(size))
+                at = (flat["slot"] & _PLACE) + offsets[:-1][row] - bounds[:-1]
+                body = data[np.arange(int(bounds[-1])) + np.repeat(at, size)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(flat["gram"]), pa.array(flat["tile"]), pa.array(flat["tiles"]), pa.array(ids[lo:hi][row]), pa.array(flat["slot"]), pa.array(flat["n"]), text_array(body, bounds, binary=True)],
+                    ["gram", "tile", "tiles", "doc_id", "slot", "n", "bytes"],
+                )
+
+    return run
 
 
 def _smallest(data: np.ndarray, starts: np.ndarray, docs: np.ndarray, length: int) -> np.ndarray:
@@ -236,14 +254,14 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50) -> DataFrame:
     near = phases.land(grams.join(shared, "gram").groupBy("doc_id").agg(F.collect_list("gram").alias("grams")), "near")
     phases.drop(shared)
     found = known.join(near, "doc_id").mapInArrow(
-        _segments(length), "h long, g int, gram long, doc_id long, slot long, n int, bytes binary"
+        _segments(length), "h long, g int, gram long, doc_id long, slot long, n int"
     )
     segments = phases.land(found, "segments")
     phases.drop(near)
     classes = segments.groupBy("h", "g", "gram").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     classes = phases.land(classes, "classes")
     phases.release()
-    copies = segments.drop("bytes", "gram").join(classes.where("first < last").select("h", "g", "first"), ["h", "g"])
+    copies = segments.drop("gram").join(classes.where("first < last").select("h", "g", "first"), ["h", "g"])
     whole = phases.land(copies.where("doc_id > first").select("doc_id", "slot", "n"), "copies")
     phases.release()
     # suffixes of each class's first document, where a gram has several classes
@@ -251,10 +269,15 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50) -> DataFrame:
     several = several.select("gram", F.ceil(F.col("k") / TILE_CLASSES).cast("int").alias("tiles"))
     heads = phases.land(classes.join(several, "gram").select("h", "g", "first", "tiles"), "contested")
     heads = segments.join(heads, ["h", "g"]).where("doc_id = first")
-    heads = heads.select("gram", F.expr("pmod(h, tiles)").cast("int").alias("tile"), "tiles", "doc_id", "slot", "n", "bytes")
-    sorted_ = heads.repartition("gram", "tile").sortWithinPartitions("gram", "tile")
-    sorted_ = phases.land(sorted_.mapInArrow(_sort_tiles(length), "doc_id long, slot long, suffix binary"), "sorted")
+    each = F.struct("slot", "n", "gram", F.expr("pmod(h, tiles)").cast("int").alias("tile"), "tiles")
+    heads = phases.land(heads.groupBy("doc_id").agg(F.collect_list(each).alias("runs")), "heads")
     phases.drop(segments, classes)
+    body = known.join(heads, "doc_id").mapInArrow(
+        _bytes_of(length), "gram long, tile int, tiles int, doc_id long, slot long, n int, bytes binary"
+    )
+    sorted_ = body.repartition("gram", "tile").sortWithinPartitions("gram", "tile")
+    sorted_ = phases.land(sorted_.mapInArrow(_sort_tiles(length), "doc_id long, slot long, suffix binary"), "sorted")
+    phases.drop(heads)
     undecided = sorted_.where("suffix is not null")
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), undecided.count() // SORT_ROWS + 1)
     merged = undecided.repartitionByRange(ranges, "suffix").mapInArrow(_merge(length), "doc_id long, slot long")
