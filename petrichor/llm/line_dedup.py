@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .phases import Phases
+from .phases import Phases, computed_once
 
 
 def segments(length: Column, distance: int) -> list[tuple[Column, Column]]:
@@ -135,7 +135,7 @@ def similar_lines(distinct: DataFrame, distance: int, phases: Phases) -> DataFra
         F.max_by("line", F.col("h") == F.col("a")).alias("x"), F.max_by("line", F.col("h") == F.col("b")).alias("y")
     )
     chars = texts.select("a", "b", F.split("x", "").alias("x"), F.split("y", "").alias("y"))
-    close = chars.where(F.abs(F.size("x") - F.size("y")) <= distance)
+    close = computed_once(chars, "x").where(F.abs(F.size("x") - F.size("y")) <= distance)
     close = close.withColumn("edits", edit_distance(F.col("x"), F.col("y"), distance)).where(F.col("edits") <= distance)
     close = phases.land(close.select("a", "b"), "similar")
     phases.drop(met)

@@ -8,7 +8,7 @@ import tempfile
 import time
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import shared_dir
 
@@ -26,6 +26,17 @@ def ship(spark: SparkSession) -> None:
         _SHIPPED.add(app)
 
 
+def computed_once(df: DataFrame, column: str) -> DataFrame:
+    """``df`` unchanged; filters above on ``column`` don't move below this projection.
+
+    Catalyst would move a filter down and put whole expressions in place of the
+    columns, also inside functions that run once for each element of an array.
+    It moves nothing past a projection that isn't deterministic; this one is so
+    in form only.
+    """
+    return df.withColumn(column, F.when(F.spark_partition_id() >= 0, F.col(column)))
+
+
 class Phases:
     """Tables that one operator call writes under ``spark.checkpoint.dir``.
 

@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .phases import Phases
+from .phases import Phases, computed_once
 
 SEPARATORS = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -73,12 +73,13 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     out = out.withColumn("__q_repeat", F.coalesce(F.when(ordered.isNotNull(), total), F.lit(0)).cast("long")).drop("__q_sorted")
     out = out.withColumn("__q_lines", lines)
     squeezed = F.translate("__q_body", SEPARATORS, "")
-    return (
+    return computed_once(
         out.withColumn("__q_n_lines", F.size("__q_lines").cast("long"))
         .withColumn("__q_dup_lines", (F.size("__q_lines") - F.size(F.array_distinct("__q_lines"))).cast("long"))
         .withColumn("__q_chars", F.length(squeezed).cast("long"))
         .withColumn("__q_symbols", _chars(F.col("__q_body"), SYMBOLS).cast("long"))
-        .drop("__q_lines")
+        .drop("__q_lines"),
+        "__q_n",
     )
 
 
