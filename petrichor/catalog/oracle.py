@@ -130,6 +130,12 @@ def _chi(feature: str) -> str:
   (SELECT CAST((count(DISTINCT v) - 1) * (count(DISTINCT t) - 1) AS INTEGER) FROM x WHERE f = '{feature}') AS degrees_of_freedom"""
 
 
+def _place(prefix: str) -> str:
+    """A key's number in [0, 1) for one purpose and seed."""
+    return f"""(CAST('0x' || substr(md5('{prefix}|' || CAST(l_orderkey AS VARCHAR) || '|' ||
+  CAST(l_linenumber AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0)"""
+
+
 _SIDE = """CASE WHEN CAST('0x' || substr(md5('0|' || CAST(l_orderkey AS VARCHAR) || '|' ||
   CAST(l_linenumber AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0 < 0.7 THEN 'train' ELSE 'test' END"""
 
@@ -216,6 +222,14 @@ FROM counts"""
     "split_by_key": _obs(
         f"""SELECT {ROW}, CASE WHEN CAST('0x' || substr(md5('0|' || CAST(l_orderkey AS VARCHAR) || '|' ||
   CAST(l_linenumber AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0 < 0.7 THEN 'train' ELSE 'test' END AS side FROM obs"""
+    ),
+    "fold_counts": _obs(
+        f"""SELECT CAST(floor({_place('fold|0')} * 5) AS INTEGER) AS fold, count(*) AS n
+FROM obs WHERE {_place('0')} < 0.7 GROUP BY 1"""
+    ),
+    "nested_split_counts": _obs(
+        f"""SELECT CASE WHEN {_place('level 1|0')} < 0.7 THEN 0 ELSE 1 END AS side, count(*) AS n
+FROM obs WHERE {_place('0')} < 0.7 GROUP BY 1"""
     ),
     "split_random": _obs("SELECT * FROM obs"),
     "clean_and_split": _obs(f", {_SIDES} SELECT * FROM sided"),

@@ -96,6 +96,21 @@ def split_by_key(spark, folder):
     )
 
 
+@_query
+def fold_counts(spark, folder):
+    train, _ = split.split_by_key(observations(spark, folder), KEYS)
+    return split.with_fold(train, KEYS, 5).groupBy("fold").agg(F.count("*").alias("n"))
+
+
+@_query
+def nested_split_counts(spark, folder):
+    """Sides of a split of a split."""
+    train, _ = split.split_by_key(observations(spark, folder), KEYS)
+    inner = split.split_by_key(train, KEYS, level=1)
+    sides = [side.select(F.lit(i).alias("side")) for i, side in enumerate(inner)]
+    return sides[0].union(sides[1]).groupBy("side").agg(F.count("*").alias("n"))
+
+
 @_query
 def split_random(spark, folder):
     """Both sides together: every row once, none lost. Which side a row falls

@@ -59,14 +59,15 @@ def fill_outside_domain(value: str | Column, mode: Column, lowest: int, highest:
     return F.when(value.between(lowest, highest), value).otherwise(mode)
 
 
-def key_fraction(keys: Sequence[str], seed: int = 0) -> Column:
-    """A number in [0, 1) that depends on the key values and the seed alone.
+def key_fraction(keys: Sequence[str], seed: int = 0, purpose: str = "") -> Column:
+    """A number in [0, 1) that depends on the key values, the seed and the purpose alone.
 
     It does not change with partitioning, row order or cluster size. A NULL
-    key part counts as an empty text.
+    key part counts as an empty text. Numbers for different purposes are
+    independent, so the folds of one side of a split are as large as any.
     """
     parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
-    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
+    digest = F.md5(F.concat_ws("|", F.lit(f"{purpose}|{seed}" if purpose else str(seed)), *parts))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
 
 

@@ -9,13 +9,10 @@ order.
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.columns import nan_to_null
-from .stats import sketch_quantiles
+from ..session import landed
 
 
 def score_counts(df: DataFrame, score: str | Column, label: str | Column = "label") -> DataFrame:
@@ -37,25 +34,18 @@ def running_counts(
     score: its place from the top, the running counts down to it, and the
     totals of the table.
 
-    Range limits are sketched quantiles of the score column; where they lie
-    affects the balance alone, not the result.
+    The distinct scores are written once, cut into ranges of about
+    ``rows_per_range``; where the cuts lie affects the balance alone.
     """
-    column = nan_to_null(score)
-    rows = df.agg(F.count(column)).first()[0]
-    ranges = min(4096, math.ceil(rows / rows_per_range))
-    counts = score_counts(df, score, label)
-    if ranges > 1:
-        steps = [i / ranges for i in range(1, ranges)]
-        _, limits = sketch_quantiles(df, {"score": (column, steps)}, k=32_768)["score"]
-        splits = [-math.inf, *sorted(set(limits)), math.inf]
-        counts = Bucketizer(splits=splits, inputCol="score", outputCol="range").transform(counts)
-        # Never NULL; saying so lets both uses below share one shuffle.
-        counts = counts.withColumn("range", F.coalesce(F.col("range").cast("int"), F.lit(0)))
-    else:
-        counts = counts.withColumn("range", F.lit(0))
+    counts = landed(score_counts(df, score, label), "scores")
+    ranges = counts.count() // rows_per_range + 2
+    # The range number must not change between the two uses, so it is written.
+    counts = landed(
+        counts.repartitionByRange(ranges, F.desc("score")).withColumn("range", F.spark_partition_id()), "ranges"
+    )
 
-    # One row per range: at most 4,097, whatever the table holds.
-    above = Window.partitionBy().orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range.
+    above = Window.partitionBy().orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
     totals = counts.groupBy("range").agg(
         F.count("*").alias("k"), F.sum("p").alias("p"), F.sum("n").alias("n")
@@ -77,7 +67,7 @@ def running_counts(
                 "fp": F.sum("n").over(so_far),
             }
         )
-        .join(F.broadcast(starts), "range")
+        .join(starts, "range")
         .select(
             "score",
             "p",

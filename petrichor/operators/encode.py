@@ -35,22 +35,15 @@ def _label_order(order: str) -> list[Column]:
     return orders[order]
 
 
-def label_table(
-    df: DataFrame, columns: Sequence[str], order: str = "alphabetDesc", max_local_labels: int = 1_000_000
-) -> DataFrame:
+def label_table(df: DataFrame, columns: Sequence[str], order: str = "alphabetDesc") -> DataFrame:
     """(column, value, n, index): the number of every category, all columns in
     one pass. Numbers are ordered as texts, as the pipeline indexer does.
 
-    The distinct values are written once. Up to ``max_local_labels`` of them,
-    each column is numbered in one task; beyond that they are range-partitioned
-    and numbered within the ranges.
+    The distinct values are range-partitioned and numbered within the ranges,
+    however many or few they are.
     """
-    labels = landed(value_frequencies(df, columns).filter(F.col("value").isNotNull()), "labels")
-    by = _label_order(order)
-    if labels.count() <= max_local_labels:
-        numbered = labels.withColumn("index", F.row_number().over(Window.partitionBy("column").orderBy(*by)) - 1)
-        return landed(numbered.withColumn("index", F.col("index").cast("double")), "labels")
-    return landed(_number_by_ranges(labels, by), "labels")
+    labels = value_frequencies(df, columns).filter(F.col("value").isNotNull())
+    return landed(_number_by_ranges(labels, _label_order(order)), "labels")
 
 
 def _number_by_ranges(labels: DataFrame, by: Sequence[Column]) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import curves, evaluate as metrics
@@ -116,8 +117,21 @@ def train(
 
 
 def score(df: DataFrame, features: FeatureSet, model: PipelineModel) -> DataFrame:
-    """Clean labelled rows and score them with stored values and codes."""
-    return model.transform(clean(df, features))
+    """Clean rows and score every one with stored values and codes.
+
+    Rows need no class. The one they have becomes ``label`` by the stored codes,
+    NULL if they have none or one that training never met.
+    """
+    rows = clean(df, features, labelled=False)
+    for stage in model.stages:
+        if isinstance(stage, StringIndexerModel) and stage.isSet("inputCol") and stage.getInputCol() == features.label:
+            codes = [F.lit(float(i)) for i in range(len(stage.labels))]
+            pairs = [v for text, code in zip(stage.labels, codes) for v in (F.lit(text), code)]
+            table = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,double>")
+            rows = rows.withColumn(stage.getOutputCol(), F.try_element_at(table, F.col(features.label).cast("string")))
+        else:
+            rows = stage.transform(rows)
+    return rows
 
 
 def evaluate(predictions: DataFrame, num_bins: int = 15) -> dict[str, DataFrame]:

@@ -15,12 +15,11 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def save_curve(points: DataFrame, path: str, binned: bool = True) -> None:
-    """Write (position, x, y) points as text.
+def save_curve(points: DataFrame, path: str, binned: bool = False) -> None:
+    """Write (position, x, y) points as text, range-partitioned into ordered files.
 
-    A binned curve has about as many points as bins and becomes one ordered
-    file. An unbinned one may have as many points as the table has rows; it is
-    range-partitioned into ordered files instead.
+    With ``binned`` the points are few, about one per bin, and become one
+    ordered file instead.
     """
     ordered = points.coalesce(1).sortWithinPartitions("position") if binned else points.orderBy("position")
     ordered.write.mode("overwrite").option("header", True).csv(path)

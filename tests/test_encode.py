@@ -27,7 +27,7 @@ def test_label_table_equals_the_pipeline_stage(spark, small, order):
     df = spark.read.parquet(f"{small}/part.parquet").select("p_brand", "p_type", F.col("p_size").cast("string").alias("p_size"))
     columns = df.columns
     own = indexes(encode.label_table(df, columns, order))
-    many = indexes(encode.label_table(df, columns, order, max_local_labels=3))
+    many = indexes(encode.label_table(df, columns, order))
     model = encode.string_indexer(columns, order).fit(df)
     built_in = {(c, v): float(i) for c, labels in zip(columns, model.labelsArray) for i, v in enumerate(labels)}
     assert own == many == built_in

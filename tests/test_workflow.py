@@ -58,7 +58,7 @@ def test_presets():
         "WindDir3pm_num", "RainToday_num",
     ]
     assert len(presets.ONEHOT5.vector_inputs) == 5 and len(presets.NUMERIC9.vector_inputs) == 9
-    assert len(presets.DATE_CATEGORY.vector_inputs) == 20
+    assert len(presets.DATE_CATEGORY.vector_inputs) == 22
 
 
 @pytest.mark.parametrize("name", list(presets.PRESETS))
