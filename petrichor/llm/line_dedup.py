@@ -6,7 +6,7 @@ segment unchanged, at a place that the difference of their lengths narrows down
 to a few substrings: each line is indexed by (its length, segment number,
 segment) and probes the lengths up to ``distance`` below its own with its own
 substrings at those places. Lines that meet are verified by the banded
-bit-parallel edit distance.
+bit-parallel edit distance, unless their letter counts already rule it out.
 """
 
 from __future__ import annotations
@@ -105,6 +105,20 @@ def _change(h: Column, j: Column, n: Column, distance: int) -> Column:
     return F.when(j < n - distance, edge).otherwise((bit(h["hp"]) - bit(h["hn"])).cast("int"))
 
 
+#: Letters whose counts are compared before two lines are aligned.
+LETTERS = "etaoinrshdlu"
+
+
+def too_different(a: Column, b: Column, distance: int) -> Column:
+    """True only if two texts are more than ``distance`` edits apart: an edit moves letter counts by two at most."""
+
+    def count(x: Column, letter: str) -> Column:
+        return F.length(x) - F.length(F.replace(x, F.lit(letter), F.lit("")))
+
+    moved = sum((F.abs(count(a, c) - count(b, c)) for c in LETTERS), F.lit(0))
+    return (F.abs(F.length(a) - F.length(b)) > distance) | (moved > 2 * distance)
+
+
 def _identified(docs: DataFrame) -> DataFrame:
     """doc_id, the hash of the text, and the lines, of rows that have both."""
     rows = docs.where("doc_id is not null and text is not null")
@@ -134,9 +148,9 @@ def similar_lines(distinct: DataFrame, distance: int, phases: Phases) -> DataFra
     texts = asked.join(distinct.select("h", "line"), "h").groupBy("a", "b").agg(
         F.max_by("line", F.col("h") == F.col("a")).alias("x"), F.max_by("line", F.col("h") == F.col("b")).alias("y")
     )
+    texts = computed_once(texts, "x").where(~too_different(F.col("x"), F.col("y"), distance))
     chars = texts.select("a", "b", F.split("x", "").alias("x"), F.split("y", "").alias("y"))
-    close = computed_once(chars, "x").where(F.abs(F.size("x") - F.size("y")) <= distance)
-    close = close.withColumn("edits", edit_distance(F.col("x"), F.col("y"), distance)).where(F.col("edits") <= distance)
+    close = computed_once(chars, "x").withColumn("edits", edit_distance(F.col("x"), F.col("y"), distance)).where(F.col("edits") <= distance)
     close = phases.land(close.select("a", "b"), "similar")
     phases.drop(met)
     return close.select(F.col("a").alias("h"), F.col("b").alias("other")).union(close.select("b", "a"))
