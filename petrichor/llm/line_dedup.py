@@ -6,7 +6,7 @@ segment unchanged, at a place that the difference of their lengths narrows down
 to a few substrings: each line is indexed by (its length, segment number,
 segment) and probes the lengths up to ``distance`` below its own with its own
 substrings at those places. Lines that meet are verified by the banded
-bit-parallel edit distance, unless their letter counts already rule it out.
+bit-parallel edit distance, unless their letter counts already rule them out.
 """
 
 from __future__ import annotations
@@ -27,11 +27,26 @@ def segments(length: Column, distance: int) -> list[tuple[Column, Column]]:
     return out
 
 
-def index_keys(line: Column, length: Column, distance: int) -> list[Column]:
-    return [F.xxhash64(length, F.lit(i), F.substring(line, p, n)) for i, (p, n) in enumerate(segments(length, distance))]
+def windows(line: Column, length: Column, distance: int) -> list[Column]:
+    """For each segment, the part of the line that holds it and all substrings that probe for it."""
+    edge = 2 * distance + 1
+    return [F.substring(line, F.greatest(p - edge, F.lit(1)), n + 2 * edge + 1) for p, n in segments(length, distance)]
 
 
-def probe_keys(line: Column, length: Column, distance: int) -> list[Column]:
+def _part(window: Column, i: int, length: Column, distance: int, start: Column, size: Column) -> Column:
+    """``size`` characters of the line from ``start``, by way of segment i's window."""
+    first = F.greatest(segments(length, distance)[i][0] - (2 * distance + 1), F.lit(1))
+    return F.substring(window, start - first + 1, size)
+
+
+def index_keys(window: list[Column], length: Column, distance: int) -> list[Column]:
+    return [
+        F.xxhash64(length, F.lit(i), _part(window[i], i, length, distance, p, n))
+        for i, (p, n) in enumerate(segments(length, distance))
+    ]
+
+
+def probe_keys(window: list[Column], length: Column, distance: int) -> list[Column]:
     """Keys of the substrings that can hold a segment of an indexed line no longer than this one."""
     keys = []
     for less in range(distance + 1):
@@ -39,7 +54,8 @@ def probe_keys(line: Column, length: Column, distance: int) -> list[Column]:
             low, high = max(-i, less - (distance - i)), min(i, less + (distance - i))
             for shift in range(low, high + 1):
                 inside = (p + shift >= 1) & (p + shift + n - 1 <= length)
-                keys.append(F.when(inside, F.xxhash64(length - less, F.lit(i), F.substring(line, p + shift, n))))
+                text = _part(window[i], i, length, distance, p + shift, n)
+                keys.append(F.when(inside, F.xxhash64(length - less, F.lit(i), text)))
     return keys
 
 
@@ -105,18 +121,25 @@ def _change(h: Column, j: Column, n: Column, distance: int) -> Column:
     return F.when(j < n - distance, edge).otherwise((bit(h["hp"]) - bit(h["hn"])).cast("int"))
 
 
-#: Letters whose counts are compared before two lines are aligned.
+#: Letters whose counts, modulo 32, make up a line's signature.
 LETTERS = "etaoinrshdlu"
 
 
-def too_different(a: Column, b: Column, distance: int) -> Column:
-    """True only if two texts are more than ``distance`` edits apart: an edit moves letter counts by two at most."""
+def signature(line: Column) -> Column:
+    counts = [F.length(line) - F.length(F.replace(line, F.lit(c), F.lit(""))) for c in LETTERS]
+    out = F.lit(0).cast("long")
+    for k, n in enumerate(counts):
+        out = out.bitwiseOR(F.shiftleft(n.cast("long").bitwiseAND(F.lit(31).cast("long")), 5 * k))
+    return out
 
-    def count(x: Column, letter: str) -> Column:
-        return F.length(x) - F.length(F.replace(x, F.lit(letter), F.lit("")))
 
-    moved = sum((F.abs(count(a, c) - count(b, c)) for c in LETTERS), F.lit(0))
-    return (F.abs(F.length(a) - F.length(b)) > distance) | (moved > 2 * distance)
+def may_be_close(a: Column, b: Column, distance: int) -> Column:
+    """False only for signatures of lines more than ``distance`` edits apart: an edit moves letter counts by two at most."""
+    moved = F.lit(0)
+    for k in range(len(LETTERS)):
+        apart = (F.shiftright(a, 5 * k) - F.shiftright(b, 5 * k)).bitwiseAND(F.lit(31).cast("long"))
+        moved = moved + F.least(apart, F.lit(32).cast("long") - apart)
+    return moved <= 2 * distance
 
 
 def _identified(docs: DataFrame) -> DataFrame:
@@ -134,23 +157,24 @@ def _exploded(docs: DataFrame, min_chars: int) -> DataFrame:
 
 def similar_lines(distinct: DataFrame, distance: int, phases: Phases) -> DataFrame:
     """(h, other): hashes of distinct lines within ``distance`` edits, each pair once in either direction."""
-    line, n = F.col("line"), F.length("line")
-    keys = [F.struct(k.alias("key"), F.lit(False).alias("probe")) for k in index_keys(line, n, distance)]
-    keys += [F.struct(k.alias("key"), F.lit(True).alias("probe")) for k in probe_keys(line, n, distance)]
-    keyed = distinct.select("h", F.explode(F.array(*keys)).alias("k")).where("k.key is not null")
-    # hashes of one line's probes may repeat under one key, as when a segment repeats; pairs are made distinct below
-    index = keyed.where("not k.probe").select(F.col("k.key").alias("key"), F.col("h").alias("a"))
-    probe = keyed.where("k.probe").select(F.col("k.key").alias("key"), F.col("h").alias("b"))
-    met = index.join(probe, "key").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    sized = distinct.select("h", "line", F.length("line").alias("n"), signature(F.col("line")).alias("s"))
+    cut = windows(F.col("line"), F.col("n"), distance)
+    sized = computed_once(sized.select("h", "n", "s", *[w.alias(f"w{i}") for i, w in enumerate(cut)]), "n")
+    window, n = [F.col(f"w{i}") for i in range(distance + 1)], F.col("n")
+    index = sized.select(F.explode(F.array(*index_keys(window, n, distance))).alias("key"), F.col("h").alias("a"), F.col("s").alias("s"))
+    probe = sized.select(F.explode(F.array(*probe_keys(window, n, distance))).alias("key"), F.col("h").alias("b"), F.col("s").alias("t"))
+    close = (F.col("a") != F.col("b")) & may_be_close(F.col("s"), F.col("t"), distance)
+    met = index.join(probe.where("key is not null"), (index.key == probe.key) & close)
+    met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     met = phases.land(met, "candidates")
     phases.release()
     asked = met.select(F.explode(F.array("a", "b")).alias("h"), "a", "b")
-    texts = asked.join(distinct.select("h", "line"), "h").groupBy("a", "b").agg(
+    texts = asked.hint("merge").join(distinct.select("h", "line"), "h").groupBy("a", "b").agg(
         F.max_by("line", F.col("h") == F.col("a")).alias("x"), F.max_by("line", F.col("h") == F.col("b")).alias("y")
     )
-    texts = computed_once(texts, "x").where(~too_different(F.col("x"), F.col("y"), distance))
     chars = texts.select("a", "b", F.split("x", "").alias("x"), F.split("y", "").alias("y"))
-    close = computed_once(chars, "x").withColumn("edits", edit_distance(F.col("x"), F.col("y"), distance)).where(F.col("edits") <= distance)
+    close = computed_once(chars, "x").where(F.abs(F.size("x") - F.size("y")) <= distance)
+    close = close.withColumn("edits", edit_distance(F.col("x"), F.col("y"), distance)).where(F.col("edits") <= distance)
     close = phases.land(close.select("a", "b"), "similar")
     phases.drop(met)
     return close.select(F.col("a").alias("h"), F.col("b").alias("other")).union(close.select("b", "a"))
@@ -191,7 +215,7 @@ def without_similar_lines(docs: DataFrame, distance: int = 2, min_chars: int = 2
     )
     flags = phases.land(flags.where("__l_removed > 0"), "flags")
     phases.drop(earliest)
-    flags = flags.select(F.col("doc_id").alias("__l_id"), F.col("row").alias("__l_row"), "__l_flags", F.col("__l_removed").alias("__l_out"))
+    flags = flags.select(F.col("doc_id").alias("__l_id"), F.col("row").alias("__l_row"), "__l_flags", F.col("__l_removed").alias("__l_out")).hint("merge")
     out = docs.withColumn("__l_row_", F.xxhash64("text")).join(
         flags, (F.col("doc_id").cast("long") == F.col("__l_id")) & (F.col("__l_row_") == F.col("__l_row")), "left"
     )
