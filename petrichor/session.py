@@ -32,7 +32,7 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     On a cluster it lies under ``spark.checkpoint.dir``, which every executor
     can reach. Only a local master may fall back to a temporary folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
