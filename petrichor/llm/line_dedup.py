@@ -11,6 +11,8 @@ bit-parallel edit distance, unless their letter counts already rule them out.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .phases import Phases, computed_once
@@ -148,9 +150,9 @@ def _identified(docs: DataFrame) -> DataFrame:
     return rows.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("row"), F.split("text", "\n", -1).alias("lines"))
 
 
-def _exploded(docs: DataFrame, min_chars: int) -> DataFrame:
+def _exploded(docs: DataFrame, min_chars: int, short_lines: bool) -> DataFrame:
     lines = _identified(docs).select("doc_id", "row", F.posexplode("lines").alias("place", "line"))
-    long = F.length("line") >= min_chars
+    long = F.col("line").rlike(r"\S") if short_lines else F.length("line") >= min_chars
     h, g = F.when(long, F.xxhash64("line")), F.when(long, F.xxhash64(F.lit(3), "line"))
     return lines.select("doc_id", "row", "place", "line", h.alias("h"), g.alias("g"))
 
@@ -180,14 +182,28 @@ def similar_lines(distinct: DataFrame, distance: int, phases: Phases) -> DataFra
     return close.select(F.col("a").alias("h"), F.col("b").alias("other")).union(close.select("b", "a"))
 
 
-def without_similar_lines(docs: DataFrame, distance: int = 2, min_chars: int = 24) -> DataFrame:
+def scaled_links(distinct: DataFrame, distance: int, min_chars: int, phases: Phases) -> list[DataFrame]:
+    """Links of lines of ``min_chars`` or more, then, for each smaller number of edits, of those that are long enough for it only."""
+    n = F.length("line")
+    links = [similar_lines(distinct.where(n >= min_chars), distance, phases)]
+    for edits in range(distance - 1, 0, -1):
+        low, high = -(-min_chars * edits // distance), -(-min_chars * (edits + 1) // distance) - 1
+        # the shorter line of a pair decides, so the longer one may have the length of the next class
+        links.append(similar_lines(distinct.where(n.between(low, high + edits)), edits, phases))
+    return links
+
+
+def without_similar_lines(docs: DataFrame, distance: int = 2, min_chars: int = 24, short_lines: bool = False) -> DataFrame:
     """``docs`` with earlier-seen lines taken out of ``text``, and ``__l_lines`` and ``__l_removed`` (long) added.
 
     Lines are what lies between line feeds. A line of at least ``min_chars``
     characters goes if a line within ``distance`` edits stands earlier: in a row
     with a smaller doc_id, or further up in its own. Judged on the input, so a
     line may go for one that goes itself. Shorter lines stay, as do rows with null
-    doc_id; null text stays null with 0 lines. Rows that repeat a doc_id are told
+    doc_id; null text stays null with 0 lines. With ``short_lines``, shorter lines
+    go too if an equal line stands earlier, or one within fewer edits in proportion
+    to the shorter one's length (one edit from half of ``min_chars`` on, if
+    ``distance`` is two); lines of white space only stay. Rows that repeat a doc_id are told
     apart by their text; full repeats are treated alike. An empty table gives an
     empty one, and other columns pass through. ``min_chars`` must be more than
     ``distance`` times two, so that every segment has a character.
@@ -195,12 +211,15 @@ def without_similar_lines(docs: DataFrame, distance: int = 2, min_chars: int = 2
     if min_chars <= 2 * distance:
         raise ValueError("min_chars must be more than distance times two")
     phases = Phases(docs.sparkSession, "lines")
-    found = _exploded(docs, min_chars)
+    found = _exploded(docs, min_chars, short_lines)
     first = found.where("h is not null").groupBy("h", "g").agg(F.min(F.struct("doc_id", "place", "line")).alias("first"))
     distinct = first.select("h", "g", F.struct("first.doc_id", "first.place").alias("first"), F.col("first.line").alias("line"))
     distinct = phases.land(distinct, "distinct")
     phases.release()
-    links = similar_lines(distinct, distance, phases)
+    if short_lines:
+        links = reduce(DataFrame.union, scaled_links(distinct, distance, min_chars, phases))
+    else:
+        links = similar_lines(distinct, distance, phases)
     place = distinct.select("h", "g", "first")
     other = place.select(F.col("h").alias("other"), F.col("first").alias("seen"))
     seen = links.join(other, "other").groupBy("h").agg(F.min("seen").alias("seen"))

@@ -75,7 +75,7 @@ def op6_simhash_dedup(spark, folder):
 
 @_query
 def op7_line_dedup(spark, folder):
-    rows = line_dedup.without_similar_lines(table(spark, folder, "documents"))
+    rows = line_dedup.without_similar_lines(table(spark, folder, "documents"), short_lines=True)
     return rows.select(
         "doc_id", F.col("__l_lines").alias("n_lines"), F.col("__l_removed").alias("n_removed"), F.sha2("text", 256).alias("kept_sha256")
     )
