@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.tables import table
 from . import (
+    centroid_clustering,
     embedding_dedup,
     language_id,
     line_dedup,
@@ -15,9 +16,11 @@ from . import (
     packing,
     quality_rules,
     simhash_dedup,
+    spelling_variants,
     substring_dedup,
     suffix_dedup,
     toxicity,
+    url_filter,
 )
 from .phases import Phases
 
@@ -107,3 +110,20 @@ def op9_quality_rules(spark, folder):
 def op10_suffix_dedup(spark, folder):
     rows = suffix_dedup.remove_repeated_bytes(table(spark, folder, "documents"))
     return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_query
+def op11_centroid_clustering(spark, folder):
+    rows = centroid_clustering.clustered(table(spark, folder, "embeddings"))
+    digest = F.sha2(F.concat_ws(",", F.col("centroid").cast("array<string>")), 256)
+    return rows.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
+
+
+@_query
+def op12_spelling_variants(spark, folder):
+    return spelling_variants.spelling_variants(table(spark, folder, "documents"), every=199)
+
+
+@_query
+def op13_url_filter(spark, folder):
+    return url_filter.judged(table(spark, folder, "pages"))
