@@ -52,6 +52,34 @@ def _modes(columns: list[str]) -> str:
     )
 
 
+#: Observations whose price is NaN in some rows.
+_NAN = """, nans AS (
+SELECT * REPLACE (CASE WHEN l_suppkey % 29 = 0 THEN CAST('NaN' AS DOUBLE) ELSE price END AS price) FROM obs)"""
+
+
+def _correlations(columns: list[str]) -> str:
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
+    return " UNION ALL ".join(
+        f"SELECT '{a}' AS \"left\", '{b}' AS \"right\", count(*) AS n, round(corr({a}, {b}), 9) AS correlation FROM nans "
+        f"WHERE {a} IS NOT NULL AND {b} IS NOT NULL AND NOT isnan(CAST({a} AS DOUBLE)) AND NOT isnan(CAST({b} AS DOUBLE))"
+        for a, b in pairs
+    )
+
+
+def _profiles(columns: list[str]) -> str:
+    def one(c: str) -> str:
+        text = f"CAST({c} AS VARCHAR)"
+        nan, sentinel = (f"count(*) FILTER (WHERE {text} = '{t}')" for t in ("nan", "NA"))
+        rates = ", ".join(
+            f"round(CAST({n} AS DOUBLE) / count(*), 9) AS {name}"
+            for n, name in ((f"count(*) FILTER (WHERE {c} IS NULL)", "null_rate"), (nan, "nan_rate"), (sentinel, "sentinel_rate"))
+        )
+        held = f"count(DISTINCT {c}) FILTER (WHERE {text} NOT IN ('nan', 'NA'))"
+        return f"SELECT '{c}' AS \"column\", count(*) AS \"rows\", {rates}, {held} AS n_distinct, true AS distinct_within_error FROM nans"
+
+    return " UNION ALL ".join(map(one, columns))
+
+
 def _dedupe(keys: list[str]) -> str:
     key = " || '-' || ".join(keys)
     order = "l_orderkey, l_linenumber, l_partkey, l_suppkey, obs_date, location, price, quantity, flag, code, target"
@@ -239,6 +267,9 @@ FROM obs WHERE {_place('0')} < 0.7 GROUP BY 1"""
     "mode_per_column": _obs(_modes(["flag", "target", "location", "code", "obs_date"])),
     "quartiles_exact": _obs(_quartiles(["price", "quantity", "code", "l_partkey"])),
     "quartiles_narrowed": _obs(_quartiles(["price", "quantity", "code", "l_partkey"])),
+    "correlation_matrix": f"WITH {OBS}{_NAN} " + _correlations(["price", "quantity", "code", "l_partkey", "l_linenumber"]),
+    "null_rate_profile": f"WITH {OBS}{_NAN} "
+    + _profiles([*ROW.split(", "), "obs_date", "location", "price", "quantity", "flag", "code", "target"]),
     "iqr_bounds": _obs(
         f", q AS ({_quartiles(['price', 'quantity', 'code'])}) "
         "SELECT *, q1 - 1.5 * (q3 - q1) AS lower, q3 + 1.5 * (q3 - q1) AS upper FROM q"

@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.columns import sentinel_to_null
-from ..operators import clean, curves, encode, evaluate, impute, split, stats
+from ..operators import clean, correlate, curves, encode, evaluate, impute, profile, split, stats
 from ..plans import learners, workflow
 from ..session import landed, shared_dir
 from ..sources.delimited import first_row, read_delimited, write_delimited
@@ -172,6 +172,31 @@ def quartiles_approx(spark, folder):
     return stats.quartiles(observations(spark, folder), ["price", "quantity", "code", "l_partkey"], exact=False)
 
 
+def _with_nan(spark, folder):
+    """Observations whose price is NaN in some rows, and missing in others."""
+    price = F.when(F.col("l_suppkey") % 29 == 0, F.lit(float("nan"))).otherwise(F.col("price"))
+    return observations(spark, folder).withColumn("price", price)
+
+
+@_query
+def correlation_matrix(spark, folder):
+    found = correlate.correlation_matrix(_with_nan(spark, folder), ["price", "quantity", "code", "l_partkey", "l_linenumber"])
+    return found.select("left", "right", "n", F.round("correlation", 9).alias("correlation"))
+
+
+@_query
+def null_rate_profile(spark, folder):
+    """Exact rates; whether the distinct estimate is within three standard errors of the exact count."""
+    rows = _with_nan(spark, folder)
+    found = profile.rates(profile.profile(rows))
+    exact = stats.value_frequencies(rows, rows.columns).where("value is not null and value not in ('NaN', 'NA')")
+    exact = exact.groupBy("column").agg(F.count("*").alias("n_distinct"))
+    off = F.abs(F.col("distinct_estimate") - F.col("n_distinct"))
+    rates = [F.round(c, 9).alias(c) for c in ("null_rate", "nan_rate", "sentinel_rate")]
+    within = (off <= 3 * profile.distinct_error() * F.col("n_distinct")).alias("distinct_within_error")
+    return found.join(exact, "column").select("column", "rows", *rates, "n_distinct", within)
+
+
 @_query
 def iqr_bounds(spark, folder):
     return stats.iqr_bounds(stats.quartiles(observations(spark, folder), ["price", "quantity", "code"]))
