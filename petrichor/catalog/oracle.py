@@ -421,6 +421,25 @@ SELECT n, round(err, 9) AS error_rate,
         ", rows AS (SELECT price, CAST(target = 'O' AS DOUBLE) AS label FROM obs), "
         f"{_points('rows', 'price', 0)} {_AUC_PR}"
     ),
+    "areas_by_group": _scored(
+        """, c AS (SELECT l_linenumber, score, sum(label) AS p, sum(1 - label) AS n FROM scored GROUP BY ALL),
+r AS (SELECT *, sum(p) OVER w AS tp, sum(n) OVER w AS fp, sum(p) OVER g AS pos, sum(n) OVER g AS neg FROM c
+  WINDOW w AS (PARTITION BY l_linenumber ORDER BY score DESC), g AS (PARTITION BY l_linenumber)),
+t AS (SELECT *, tp / (tp + fp) AS prec, tp - p AS btp, fp - n AS bfp FROM r)
+SELECT l_linenumber, round(sum(n * (tp + btp)) / 2 / (max(pos) * max(neg)), 9) AS auc_roc,
+  round(sum(p * (prec + CASE WHEN btp + bfp > 0 THEN btp / (btp + bfp) ELSE prec END)) / 2 / max(pos), 9) AS auc_pr
+FROM t GROUP BY l_linenumber"""
+    ),
+    "threshold_cells": _scored(
+        """, t AS (SELECT unnest([0.0, 0.25, 0.5, 0.75, 1.0, 1.25, 1e6]::DOUBLE[]) AS threshold)
+SELECT l_linenumber % 2 AS half, threshold, count(*) FILTER (WHERE score > threshold AND label = 1) AS tp,
+  count(*) FILTER (WHERE score > threshold AND label = 0) AS fp, count(*) FILTER (WHERE score <= threshold AND label = 0) AS tn,
+  count(*) FILTER (WHERE score <= threshold AND label = 1) AS fn FROM scored, t GROUP BY half, threshold"""
+    ),
+    "search_best_model": """SELECT 'impurity=gini, maxDepth=2' AS params, CAST(1 AS DOUBLE) AS avg_metric,
+  count(*) FILTER (WHERE l_quantity > 25 AND l_discount > 0.045) AS tp, CAST(0 AS BIGINT) AS fp,
+  count(*) FILTER (WHERE NOT (l_quantity > 25 AND l_discount > 0.045)) AS tn, CAST(0 AS BIGINT) AS fn,
+  6 AS preparations_fitted, 16 AS learners_fitted FROM lineitem""",
     "roc_curve_exact": _scored(f", {_points('scored', 'price', 0)} {_ROC}"),
     "roc_curve_binned": _scored(f", {_points('scored', 'price', 15)} {_ROC}"),
     "pr_curve": _scored(f", {_points('scored', 'score', 15)} {_PR}"),

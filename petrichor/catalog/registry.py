@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.columns import sentinel_to_null
 from ..operators import clean, correlate, curves, encode, evaluate, impute, profile, split, stats
-from ..plans import learners, workflow
+from ..plans import learners, search, workflow
+from ..plans.presets import FeatureSet
 from ..session import landed, shared_dir
 from ..sources.delimited import first_row, read_delimited, write_delimited
 from ..sources.sinks import load_curve, load_model, save_curve, save_model
@@ -509,6 +510,46 @@ def cv_metrics(spark, folder):
     return learners.cv_results(spark, model)
 
 
+#: Two numbers of few values each and a class that they decide together.
+PLANTED = FeatureSet(name="planted", keys=KEYS, label="target", numeric=("quantity", "discount"))
+
+
+def _planted(spark, folder):
+    """Rows of class O where both numbers are large: one cut of a tree can't tell, two can."""
+    li = table(spark, folder, "lineitem")
+    cells = (F.col("l_quantity") > 25) & (F.col("l_discount") > 0.045)
+    numbers = [F.col("l_quantity").alias("quantity"), F.col("l_discount").alias("discount")]
+    return li.select(*KEYS, *numbers, F.when(cells, "O").otherwise("F").alias("target"))
+
+
+@_query
+def search_best_model(spark, folder):
+    """The best of three depths, its average area, the fits it took, and its cells over all rows."""
+    rows = _planted(spark, folder)
+    learner = learners.decision_tree(maxBins=64)
+    found = search.search(rows, PLANTED, learner, {"maxDepth": [1, 2, 3], "impurity": ["gini"]}, cleaned=True)
+    best = found.results.filter("rank = 1").select("params", F.round("avg_metric", 9).alias("avg_metric"))
+    cells = evaluate.confusion_matrix(found.model.transform(rows)).select("tp", "fp", "tn", "fn")
+    fits = [F.lit(n).alias(f"{what}_fitted") for what, n in found.fits.items()]
+    both = best.unionByName(cells, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns]).select("*", *fits)
+
+
+@_query
+def threshold_cells(spark, folder):
+    """Cells of one score at many thresholds, for each line status apart."""
+    rows = scored_rows(spark, folder).withColumn("half", F.col("l_linenumber") % 2)
+    running = curves.running_counts(rows, "score", by=["half"])
+    return curves.threshold_cells(running, [0.0, 0.25, 0.5, 0.75, 1.0, 1.25, 1e6], by=["half"])
+
+
+@_query
+def areas_by_group(spark, folder):
+    """Both areas of one score for each line number, from one set of curves."""
+    points = curves.curve(scored_rows(spark, folder), "score", by=["l_linenumber"])
+    return _rounded(curves.areas(points, by=["l_linenumber"]), "auc_roc", "auc_pr")
+
+
 @_query
 def lr_coefficients(spark, folder):
     trained = _train(spark, folder, learners.logistic_regression("medium"))
