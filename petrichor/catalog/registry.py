@@ -133,8 +133,7 @@ def clean_and_split(spark, folder):
 def prepare_features(spark, folder):
     """Test rows as vectors, with the values and codes of the training rows."""
     train, test = workflow.clean_sides(observations(spark, folder), OBS_FEATURES)
-    stages = [*workflow.preparation_stages(OBS_FEATURES), encode.label_indexer("target", OBS_FEATURES.label_order)]
-    prepared = Pipeline(stages=stages).fit(train).transform(test)
+    prepared = workflow.preparation(OBS_FEATURES, labelled=True).fit(train).transform(test)
     vector = vector_to_array(F.col("features"))
     width = len(OBS_FEATURES.vector_inputs)
     return prepared.select(*ROW, "code", "label", *[F.get(vector, F.lit(i)).alias(f"f{i}") for i in range(width)])

@@ -44,24 +44,26 @@ def label_table(df: DataFrame, columns: Sequence[str], order: str = "alphabetDes
     however many or few they are.
     """
     labels = value_frequencies(df, columns).filter(F.col("value").isNotNull())
-    return landed(_number_by_ranges(labels, _label_order(order)), "labels")
+    return landed(number_by_ranges(labels, _label_order(order)), "labels")
 
 
-def _number_by_ranges(labels: DataFrame, by: Sequence[Column]) -> DataFrame:
+def number_by_ranges(labels: DataFrame, by: Sequence[Column]) -> DataFrame:
+    """(column, value, n, index) of (column, value, n): numbers from 0 within each column, in the given order.
+
+    Rows are sorted within ranges and numbered in the order of each range's file;
+    the driver sees one row per range and column, where the column's part starts.
+    """
     # The range number must not change between the two uses, so it is written.
-    ranged = landed(
-        labels.repartitionByRange(F.col("column"), *by).withColumn("_range", F.spark_partition_id()), "ranges"
-    )
-    before = Window.partitionBy("column").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per range and column, so at most partitions + columns rows.
-    starts = ranged.groupBy("column", "_range").agg(F.count("*").alias("_size"))
-    starts = starts.withColumn("_start", F.coalesce(F.sum("_size").over(before), F.lit(0))).drop("_size")
-    within = F.row_number().over(Window.partitionBy("column", "_range").orderBy(*by))
-    return (
-        ranged.join(starts, ["column", "_range"])
-        .withColumn("index", (F.col("_start") + within - 1).cast("double"))
-        .select("column", "value", "n", "index")
-    )
+    ranged = labels.repartitionByRange(F.col("column"), *by).sortWithinPartitions("column", *by)
+    ranged = landed(ranged.withColumn("_id", F.monotonically_increasing_id()), "ranges")
+    part, row = F.shiftright("_id", 33).cast("int"), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    parts = ranged.groupBy("column", part.alias("part")).agg(F.min(row).alias("first"), F.count("*").alias("size")).collect()
+    starts, before = [], {}
+    for r in sorted(parts, key=lambda r: r["part"]):
+        starts += [F.lit(f"{r['part']}:{r['column']}"), F.lit(before.get(r["column"], 0) - r["first"]).cast("long")]
+        before[r["column"]] = before.get(r["column"], 0) + r["size"]
+    offset = F.element_at(F.create_map(*starts), F.concat(part.cast("string"), F.lit(":"), "column")) if starts else F.lit(0)
+    return ranged.select("column", "value", "n", (row + offset).cast("double").alias("index"))
 
 
 def apply_labels(

@@ -19,12 +19,11 @@ from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import curves
-from ..operators.encode import label_indexer
 from ..operators.split import with_fold
 from ..session import landed, shared_dir
 from .learners import scored
 from .presets import FeatureSet
-from .workflow import clean, preparation_stages
+from .workflow import clean, preparation
 
 AREAS = ("auc_roc", "auc_pr")
 RATES = ("accuracy", "f1")
@@ -53,7 +52,7 @@ def points_of(grid: Mapping[str, Sequence]) -> list[dict[str, object]]:
 
 def prepare(features: FeatureSet) -> Pipeline:
     """Imputation, codes, vector and class."""
-    return Pipeline(stages=[*preparation_stages(features), label_indexer(features.label, features.label_order)])
+    return preparation(features, labelled=True)
 
 
 def _all(spark, parallelism: int, task, arguments: Sequence[tuple]) -> list:

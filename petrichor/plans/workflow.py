@@ -18,8 +18,9 @@ from ..operators.clean import (
     drop_unlabelled,
     replace_sentinel,
 )
-from ..operators.encode import assembler, label_indexer, one_hot_encoder, string_indexer
-from ..operators.impute import DomainModeImputer, IqrCapImputer, ModeImputer
+from ..operators.codes import CategoryPreparation
+from ..operators.encode import assembler, one_hot_encoder
+from ..operators.impute import IqrCapImputer
 from ..operators.split import side_of, split_by_key
 from ..functions.columns import month_of
 from ..session import landed
@@ -56,34 +57,42 @@ def clean_sides(
     return [rows.filter(F.col("_side") == i).drop("_side") for i in range(len(weights))]
 
 
-def preparation_stages(features: FeatureSet) -> list[Estimator]:
-    """Imputation, encoding and assembly, learned from the training rows."""
+def preparation_stages(features: FeatureSet, labelled: bool = False) -> list[Estimator]:
+    """Imputation, encoding and assembly, learned from the training rows; with
+    ``labelled`` the class index too. All category facts share one pass."""
     stages: list[Estimator] = []
     if features.numeric:
         stages.append(IqrCapImputer(inputCols=list(features.numeric)))
-    if features.impute_mode:
-        stages.append(ModeImputer(inputCols=list(features.impute_mode)))
-    by_range: dict[tuple[int, int], list[str]] = {}
-    for column, limits in features.domain.items():
-        by_range.setdefault(limits, []).append(column)
-    for (low, high), columns in by_range.items():
-        stages.append(DomainModeImputer(inputCols=columns, lowest=low, highest=high))
-    if features.categorical:
-        stages.append(string_indexer(features.categorical, invalid=features.invalid))
-        if features.one_hot:
-            stages.append(one_hot_encoder(features.categorical))
+    if features.impute_mode or features.domain or features.categorical or labelled:
+        stages.append(
+            CategoryPreparation(
+                inputCols=list(features.categorical),
+                modeCols=list(features.impute_mode),
+                domainCols=list(features.domain),
+                lowest=[low for low, _ in features.domain.values()],
+                highest=[high for _, high in features.domain.values()],
+                label=features.label if labelled else "",
+                labelOrder=features.label_order,
+                invalid=features.invalid,
+            )
+        )
+    if features.categorical and features.one_hot:
+        stages.append(one_hot_encoder(features.categorical))
     stages.append(assembler(features.vector_inputs))
     return stages
 
 
-def preparation(features: FeatureSet) -> Pipeline:
-    return Pipeline(stages=preparation_stages(features))
+def preparation(features: FeatureSet, labelled: bool = False) -> Pipeline:
+    return Pipeline(stages=preparation_stages(features, labelled))
 
 
 def pipeline(features: FeatureSet, learner: Estimator) -> Pipeline:
-    return Pipeline(
-        stages=[*preparation_stages(features), label_indexer(features.label, features.label_order), learner]
-    )
+    return Pipeline(stages=[*preparation_stages(features, labelled=True), learner])
+
+
+def flat_stages(model: PipelineModel) -> list:
+    """The fitted stages in order, those of inner pipelines in their place."""
+    return [x for s in model.stages for x in (flat_stages(s) if isinstance(s, PipelineModel) else [s])]
 
 
 @dataclass
@@ -123,7 +132,7 @@ def score(df: DataFrame, features: FeatureSet, model: PipelineModel) -> DataFram
     NULL if they have none or one that training never met.
     """
     rows = clean(df, features, labelled=False)
-    for stage in model.stages:
+    for stage in flat_stages(model):
         if isinstance(stage, StringIndexerModel) and stage.isSet("inputCol") and stage.getInputCol() == features.label:
             codes = [F.lit(float(i)) for i in range(len(stage.labels))]
             pairs = [v for text, code in zip(stage.labels, codes) for v in (F.lit(text), code)]
