@@ -215,6 +215,32 @@ SELECT {ROW}, code, t.i AS label, price AS f0, quantity AS f1, m.i AS f2, l.i AS
 FROM filled JOIN m ON CAST("Month" AS VARCHAR) = m.v JOIN l ON location = l.v JOIN f ON flag = f.v JOIN t ON target = t.v
 WHERE side = 'test'"""
 
+#: Line items with a class that discount and tax decide; ``kept`` has one row per key, as cleaning leaves it.
+_PLANTED_ROWS = """rows AS (
+SELECT l_orderkey, l_linenumber, l_discount AS discount, l_tax AS tax, l_discount > 0.045 AND l_tax > 0.035 AS large,
+  l_returnflag = 'R' OR l_suppkey % 49 = 7 AS hot, l_returnflag AS flag, 'S' || (l_suppkey % 49) AS place,
+  CASE WHEN l_suppkey % 23 = 0 THEN NULL WHEN l_discount > 0.045 AND l_tax > 0.035 THEN 'O' ELSE 'F' END AS target FROM lineitem)"""
+
+_BINARY_ROWS = f"""rows AS (SELECT l_orderkey, l_linenumber, l_discount > 0.045 AS large, l_linestatus AS target FROM lineitem),
+kept AS (SELECT *, {_SIDE} AS side FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY large, target) AS nth FROM rows) WHERE nth = 1)"""
+
+
+def _planted(body: str) -> str:
+    order = {"one-hot": "discount, flag, place, hot", "logistic": "discount > 0.045"}
+    order = next((o for name, o in order.items() if name in body), "discount, tax, target NULLS FIRST")
+    return f"""WITH {_PLANTED_ROWS},
+kept AS (SELECT *, {_SIDE} AS side FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {order}) AS nth FROM rows) WHERE nth = 1)
+{body}"""
+
+
+def _perfect(learner: str, positive: str = "large", extra: str = "target IS NOT NULL", source: str = "kept") -> str:
+    """The report of a learner that makes no mistake on the test side."""
+    side = "side = 'test'" if source == "kept" else f"{_SIDE} = 'test'"
+    return f"""SELECT '{learner}' AS learner, count(*) FILTER (WHERE {positive}) AS tp, CAST(0 AS BIGINT) AS fp,
+  count(*) FILTER (WHERE NOT ({positive})) AS tn, CAST(0 AS BIGINT) AS fn, CAST(1 AS DOUBLE) AS accuracy,
+  CAST(1 AS DOUBLE) AS auc_roc, CAST(1 AS DOUBLE) AS auc_pr FROM {source} WHERE {side} AND ({extra})"""
+
+
 ORACLE: dict[str, str] = {
     # Scans and cleaning
     "csv_scan_typed": _obs(
@@ -245,6 +271,15 @@ SELECT total_rows, total_rows - unique_rows AS duplicate_rows, CAST(0 AS BIGINT)
   round(CAST(total_rows - unique_rows + unlabelled_rows AS DOUBLE) / total_rows, 9) AS unclassified_rate
 FROM counts"""
     ),
+    "train_audits": f"""WITH {OBS}, nulled AS (SELECT * REPLACE (nullif(target, 'NA') AS target, nullif(location, 'NA') AS location) FROM obs),
+counted AS (SELECT *, count(*) OVER k AS copies, row_number() OVER (k ORDER BY {_ORDER}) AS nth FROM nulled WINDOW k AS (PARTITION BY obs_date || '|' || flag)),
+sided AS (SELECT *, CASE WHEN CAST('0x' || substr(md5('0|' || coalesce(obs_date, '') || '|' || coalesce(flag, '')), 1, 8) AS BIGINT) / 4294967296.0 < 0.7
+  THEN 0 ELSE 1 END AS side FROM counted WHERE nth = 1),
+counts AS (SELECT side, CAST(sum(copies) AS BIGINT) AS total_rows, count(*) AS unique_rows, count(*) FILTER (WHERE target IS NULL) AS unlabelled_rows FROM sided GROUP BY side)
+SELECT side, total_rows, total_rows - unique_rows AS duplicate_rows, CAST(0 AS BIGINT) AS empty_rows, total_rows - unique_rows AS empty_rows_cumulative,
+  unlabelled_rows, total_rows - unique_rows + unlabelled_rows AS unlabelled_rows_cumulative, unique_rows - unlabelled_rows AS kept_rows,
+  round(CAST(total_rows - unique_rows + unlabelled_rows AS DOUBLE) / total_rows, 9) AS unclassified_rate, unique_rows - unlabelled_rows AS rows_left
+FROM counts""",
     "extract_month": _obs(f'SELECT * EXCLUDE (obs_date), {MONTH} AS "Month" FROM obs'),
     "first_observation": _obs(f"SELECT * FROM obs ORDER BY obs_date, location, {ROW} LIMIT 1"),
     "split_by_key": _obs(
@@ -270,6 +305,13 @@ FROM obs WHERE {_place('0')} < 0.7 GROUP BY 1"""
     "correlation_matrix": f"WITH {OBS}{_NAN} " + _correlations(["price", "quantity", "code", "l_partkey", "l_linenumber"]),
     "null_rate_profile": f"WITH {OBS}{_NAN} "
     + _profiles([*ROW.split(", "), "obs_date", "location", "price", "quantity", "flag", "code", "target"]),
+    "quartiles_approx": _obs(
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS \"column\", CAST({p} AS DOUBLE) AS prob, count({c}) AS n, true AS occurs, true AS within_error FROM obs"
+            for c in ("price", "quantity", "code", "l_partkey")
+            for p in (0.25, 0.5, 0.75)
+        )
+    ),
     "iqr_bounds": _obs(
         f", q AS ({_quartiles(['price', 'quantity', 'code'])}) "
         "SELECT *, q1 - 1.5 * (q3 - q1) AS lower, q3 + 1.5 * (q3 - q1) AS upper FROM q"
@@ -436,10 +478,32 @@ SELECT l_linenumber % 2 AS half, threshold, count(*) FILTER (WHERE score > thres
   count(*) FILTER (WHERE score > threshold AND label = 0) AS fp, count(*) FILTER (WHERE score <= threshold AND label = 0) AS tn,
   count(*) FILTER (WHERE score <= threshold AND label = 1) AS fn FROM scored, t GROUP BY half, threshold"""
     ),
-    "search_best_model": """SELECT 'impurity=gini, maxDepth=2' AS params, CAST(1 AS DOUBLE) AS avg_metric,
-  count(*) FILTER (WHERE l_quantity > 25 AND l_discount > 0.045) AS tp, CAST(0 AS BIGINT) AS fp,
-  count(*) FILTER (WHERE NOT (l_quantity > 25 AND l_discount > 0.045)) AS tn, CAST(0 AS BIGINT) AS fn,
-  6 AS preparations_fitted, 16 AS learners_fitted FROM lineitem""",
+    "all_but_label": "SELECT l_orderkey, l_linenumber, l_tax AS f0, l_discount AS f1, l_quantity AS f2 FROM lineitem",
+    # Learners on planted classes
+    "dt_train_score": _planted(_perfect("decision tree")),
+    "rf_train_score": _planted(_perfect("random forest")),
+    "lr_train_score": _planted(_perfect("logistic regression", "discount > 0.045", "target IS NOT NULL OR true")),
+    "pipeline_rf": f"WITH {_PLANTED_ROWS} " + _perfect("pipeline forest", source="rows", extra="target IS NOT NULL"),
+    "one_hot_train_score": _planted(_perfect("one-hot tree", "hot", "true")),
+    "cv_metrics": """SELECT CAST(row_number() OVER (ORDER BY params) AS INTEGER) AS rank, params, CAST(1 AS DOUBLE) AS avg_metric, CAST(0 AS DOUBLE) AS std_metric
+FROM (SELECT 'impurity=gini, maxBins=' || b || ', maxDepth=' || d AS params FROM (SELECT unnest([42, 70]) AS b), (SELECT unnest([6, 10]) AS d))""",
+    "search_best_model": f"""WITH {_PLANTED_ROWS} SELECT 'impurity=gini, maxDepth=2' AS params, CAST(1 AS DOUBLE) AS avg_metric,
+  count(*) FILTER (WHERE target = 'O') AS tp, CAST(0 AS BIGINT) AS fp, count(*) FILTER (WHERE target = 'F') AS tn, CAST(0 AS BIGINT) AS fn,
+  6 AS preparations_fitted, 16 AS learners_fitted FROM rows WHERE target IS NOT NULL""",
+    "lr_coefficients": f"""WITH {_BINARY_ROWS}, c AS (
+SELECT CAST(count(*) FILTER (WHERE large AND target = 'O') AS DOUBLE) AS a, CAST(count(*) FILTER (WHERE large AND target = 'F') AS DOUBLE) AS b,
+  CAST(count(*) FILTER (WHERE NOT large AND target = 'O') AS DOUBLE) AS c, CAST(count(*) FILTER (WHERE NOT large AND target = 'F') AS DOUBLE) AS d
+FROM kept WHERE side = 'train')
+SELECT -1 AS position, 'intercept' AS feature, round(ln(c / d), 5) AS coefficient FROM c
+UNION ALL SELECT 0, 'large', round(ln(a * d / (b * c)), 5) FROM c""",
+    "score_unlabelled": _planted(
+        """SELECT CASE target WHEN 'O' THEN 1.0 WHEN 'F' THEN 0.0 END::DOUBLE AS label, large::DOUBLE AS prediction, count(*) AS n,
+  sum(large::DOUBLE) AS score FROM kept GROUP BY 1, 2"""
+    ),
+    "model_roundtrip": _planted(
+        """SELECT pipeline, large::DOUBLE AS label, large::DOUBLE AS prediction, count(*) AS n, sum(large::DOUBLE) AS score
+FROM kept, (SELECT unnest(['fitted', 'loaded']) AS pipeline) WHERE side = 'test' AND target IS NOT NULL GROUP BY 1, 2, 3"""
+    ),
     "roc_curve_exact": _scored(f", {_points('scored', 'price', 0)} {_ROC}"),
     "roc_curve_binned": _scored(f", {_points('scored', 'price', 15)} {_ROC}"),
     "pr_curve": _scored(f", {_points('scored', 'score', 15)} {_PR}"),

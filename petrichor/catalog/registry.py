@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.columns import sentinel_to_null
+from ..functions.columns import class_probability, sentinel_to_null
 from ..operators import clean, correlate, curves, encode, evaluate, impute, profile, split, stats
 from ..plans import learners, search, workflow
 from ..plans.presets import FeatureSet
@@ -79,6 +80,17 @@ def cleaning_audit(spark, folder):
     return audit.withColumn("unclassified_rate", F.round("unclassified_rate", 9))
 
 
+@_query
+def train_audits(spark, folder):
+    """The audit of each side of a split by keys with NULL parts, and how many rows the side has left."""
+    features = replace(OBS_FEATURES, keys=("obs_date", "flag"))
+    keyed = workflow.keyed_sides(observations(spark, folder), features)
+    audits = workflow.audits_of_sides(keyed, features).withColumn("unclassified_rate", F.round("unclassified_rate", 9))
+    sides = workflow.rows_of_sides(keyed, features, 2)
+    left = [side.agg(F.lit(i).alias("_side"), F.count("*").alias("rows_left")) for i, side in enumerate(sides)]
+    return audits.join(left[0].union(left[1]), "_side").withColumnRenamed("_side", "side")
+
+
 @_query
 def extract_month(spark, folder):
     return clean.extract_month(observations(spark, folder), "obs_date")
@@ -169,7 +181,10 @@ def quartiles_narrowed(spark, folder):
 
 @_query
 def quartiles_approx(spark, folder):
-    return stats.quartiles(observations(spark, folder), ["price", "quantity", "code", "l_partkey"], exact=False)
+    """Sketched quartiles by their certificates: real values of the column, within twice the stated error of the rank."""
+    found = stats.certified_quartiles(observations(spark, folder), ["price", "quantity", "code", "l_partkey"])
+    within = (F.col("rank_error") <= 2 * stats.sketch_error()).alias("within_error")
+    return found.select("column", "prob", "n", (F.col("upto") > F.col("below")).alias("occurs"), within)
 
 
 def _with_nan(spark, folder):
@@ -308,6 +323,15 @@ def assemble_features(spark, folder):
     return assembled.select(*ROW, *[F.get(vector, F.lit(i)).alias(f"f{i}") for i in range(len(inputs))])
 
 
+@_query
+def all_but_label(spark, folder):
+    """A vector of every column but the keys and the class."""
+    rows = table(spark, folder, "lineitem").select(*KEYS, "l_tax", "l_discount", "l_quantity", "l_linestatus")
+    inputs = encode.all_but(rows, *KEYS, "l_linestatus")
+    vector = vector_to_array(F.col("features"))
+    return encode.assembler(inputs).transform(rows).select(*KEYS, *[F.get(vector, F.lit(i)).alias(f"f{i}") for i in range(len(inputs))])
+
+
 @_query
 def index_to_string(spark, folder):
     rows = clean.drop_unlabelled(observations(spark, folder), "target").select("target")
@@ -447,85 +471,98 @@ def roc_sink_roundtrip(spark, folder):
 
 
 # Learners -------------------------------------------------------------------
+#
+# Classes are planted, so that the right answer has a closed form. Training on
+# the observations with the published settings is in the tests and the benchmark.
 
 
 def _report(name: str, predictions: DataFrame) -> DataFrame:
     pairs = landed(learners.scored(predictions), "scores")
     points = curves.curve(pairs, "score", num_bins=1000)
     rates = evaluate.confusion_rates(pairs).select(F.lit(name).alias("learner"), "tp", "fp", "tn", "fn", "accuracy")
-    both = rates.unionByName(curves.areas(points), allowMissingColumns=True)
+    both = rates.unionByName(_rounded(curves.areas(points), "auc_roc", "auc_pr"), allowMissingColumns=True)
     return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
-def _train(spark, folder, learner):
+def train_observations(spark, folder, learner):
     return workflow.train(observations(spark, folder), OBS_FEATURES, learner)
 
 
+#: Numbers of few values and a class that the first two decide together.
+PLANTED = FeatureSet(name="planted", keys=KEYS, label="target", numeric=("discount", "tax"))
+#: One yes-or-no number, which is the class, or has a hand in it.
+BINARY = FeatureSet(name="binary", keys=KEYS, label="target", numeric=("large",))
+#: Categories as indicator vectors; the class is whether one of them has a certain value.
+HOT = FeatureSet(
+    name="hot", keys=KEYS, label="target", numeric=("discount",), numeric_in_vector=False, categorical=("flag", "place"), one_hot=True, invalid="keep"
+)
+
+
+def planted(spark, folder):
+    """Rows of class O where both numbers are large: one cut of a tree can't tell, two can.
+    The class is missing in some rows, which training leaves out."""
+    large = (F.col("l_discount") > 0.045) & (F.col("l_tax") > 0.035)
+    target = F.when(F.col("l_suppkey") % 23 != 0, F.when(large, "O").otherwise("F"))
+    numbers = [F.col("l_discount").alias("discount"), F.col("l_tax").alias("tax")]
+    return table(spark, folder, "lineitem").select(*KEYS, *numbers, target.alias("target"))
+
+
+def binary(spark, folder, target):
+    large = (F.col("l_discount") > 0.045).cast("double").alias("large")
+    return table(spark, folder, "lineitem").select(*KEYS, large, target.alias("target"))
+
+
 @_query
 def dt_train_score(spark, folder):
     learner = learners.decision_tree("bins49")
-    return _report("decision tree", _train(spark, folder, learner).predictions)
+    return _report("decision tree", workflow.train(planted(spark, folder), PLANTED, learner).predictions)
 
 
 @_query
 def lr_train_score(spark, folder):
-    learner = learners.logistic_regression("selected")
-    return _report("logistic regression", _train(spark, folder, learner).predictions)
+    rows = binary(spark, folder, F.when(F.col("l_discount") > 0.045, "O").otherwise("F"))
+    return _report("logistic regression", workflow.train(rows, BINARY, learners.logistic_regression("selected")).predictions)
 
 
 @_query
 def rf_train_score(spark, folder):
     learner = learners.random_forest("deep")
-    return _report("random forest", _train(spark, folder, learner).predictions)
+    return _report("random forest", workflow.train(planted(spark, folder), PLANTED, learner).predictions)
 
 
-def _numbers_and_class(spark, folder):
-    columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    rows = table(spark, folder, "lineitem").select(*KEYS, *columns, F.col("l_linestatus").alias("target"))
-    return columns, rows
+@_query
+def one_hot_train_score(spark, folder):
+    """A tree on indicator vectors of table-backed codes."""
+    li = table(spark, folder, "lineitem")
+    place = F.concat(F.lit("S"), (F.col("l_suppkey") % 49).cast("string"))
+    target = F.when((F.col("l_returnflag") == "R") | (place == "S7"), "O").otherwise("F")
+    rows = li.select(*KEYS, F.col("l_discount").alias("discount"), F.col("l_returnflag").alias("flag"), place.alias("place"), target.alias("target"))
+    return _report("one-hot tree", workflow.train(rows, HOT, learners.decision_tree("entropy_9_2")).predictions)
 
 
 @_query
 def pipeline_rf(spark, folder):
     """Assembler, class indexer and forest as one pipeline on plain numbers."""
-    columns, rows = _numbers_and_class(spark, folder)
-    train, test = split.split_by_key(rows, KEYS)
-    stages = [
-        encode.assembler(columns),
-        encode.label_indexer("target", "frequencyDesc"),
-        learners.random_forest("shallow"),
-    ]
+    train, test = split.split_by_key(planted(spark, folder).dropna(), KEYS)
+    stages = [encode.assembler(PLANTED.numeric), encode.label_indexer("target", "frequencyDesc"), learners.random_forest("shallow")]
     return _report("pipeline forest", Pipeline(stages=stages).fit(train).transform(test))
 
 
 @_query
 def cv_metrics(spark, folder):
-    columns, rows = _numbers_and_class(spark, folder)
-    rows = split.with_fold(rows, KEYS, 5)
+    rows = split.with_fold(planted(spark, folder).dropna(), KEYS, 5)
     learner = learners.random_forest("shallow")
-    stages = [encode.assembler(columns), encode.label_indexer("target", "frequencyDesc"), learner]
+    stages = [encode.assembler(PLANTED.numeric), encode.label_indexer("target", "frequencyDesc"), learner]
     grid = learners.parameter_grid(learner, learners.GRIDS["forest_small"])
     model = learners.cross_validate(rows, Pipeline(stages=stages), grid, folds=5, fold_column="fold")
-    return learners.cv_results(spark, model)
-
-
-#: Two numbers of few values each and a class that they decide together.
-PLANTED = FeatureSet(name="planted", keys=KEYS, label="target", numeric=("quantity", "discount"))
-
-
-def _planted(spark, folder):
-    """Rows of class O where both numbers are large: one cut of a tree can't tell, two can."""
-    li = table(spark, folder, "lineitem")
-    cells = (F.col("l_quantity") > 25) & (F.col("l_discount") > 0.045)
-    numbers = [F.col("l_quantity").alias("quantity"), F.col("l_discount").alias("discount")]
-    return li.select(*KEYS, *numbers, F.when(cells, "O").otherwise("F").alias("target"))
+    return _rounded(learners.cv_results(spark, model), "avg_metric", "std_metric")
 
 
 @_query
 def search_best_model(spark, folder):
     """The best of three depths, its average area, the fits it took, and its cells over all rows."""
-    rows = _planted(spark, folder)
-    learner = learners.decision_tree(maxBins=64)
+    rows = planted(spark, folder).dropna()
+    learner = learners.decision_tree("bins49")
     found = search.search(rows, PLANTED, learner, {"maxDepth": [1, 2, 3], "impurity": ["gini"]}, cleaned=True)
     best = found.results.filter("rank = 1").select("params", F.round("avg_metric", 9).alias("avg_metric"))
     cells = evaluate.confusion_matrix(found.model.transform(rows)).select("tp", "fp", "tn", "fn")
@@ -536,7 +573,7 @@ def search_best_model(spark, folder):
 
 @_query
 def threshold_cells(spark, folder):
-    """Cells of one score at many thresholds, for each line status apart."""
+    """Cells of one score at many thresholds, for odd and even lines apart."""
     rows = scored_rows(spark, folder).withColumn("half", F.col("l_linenumber") % 2)
     running = curves.running_counts(rows, "score", by=["half"])
     return curves.threshold_cells(running, [0.0, 0.25, 0.5, 0.75, 1.0, 1.25, 1e6], by=["half"])
@@ -551,15 +588,25 @@ def areas_by_group(spark, folder):
 
 @_query
 def lr_coefficients(spark, folder):
-    trained = _train(spark, folder, learners.logistic_regression("medium"))
-    return learners.coefficients(spark, trained.model, OBS_FEATURES.vector_inputs)
+    """Without a penalty, one yes-or-no input has the logarithm of the odds ratio for its coefficient."""
+    learner = learners.logistic_regression("medium", regParam=0.0, maxIter=200, tol=1e-12)
+    trained = workflow.train(binary(spark, folder, F.col("l_linestatus")), BINARY, learner)
+    return learners.coefficients(spark, trained.model, BINARY.vector_inputs).withColumn("coefficient", F.round("coefficient", 5))
+
+
+@_query
+def score_unlabelled(spark, folder):
+    """Every key scored, by class and prediction, rows without a class among them."""
+    model = workflow.train(planted(spark, folder), PLANTED, learners.decision_tree("bins49")).model
+    later = workflow.score(planted(spark, folder), PLANTED, model)
+    return later.groupBy("label", "prediction").agg(F.count("*").alias("n"), F.sum(class_probability()).alias("score"))
 
 
 @_query
 def model_roundtrip(spark, folder):
     """Per class and prediction: the rows and the score sum of the fitted and
     of the stored and reloaded pipeline."""
-    trained = _train(spark, folder, learners.decision_tree("bins49"))
+    trained = workflow.train(planted(spark, folder), PLANTED, learners.decision_tree("bins49"))
     path = shared_dir(spark, "model")
     save_model(trained.model, path)
     fitted = learners.scored(trained.predictions).withColumn("pipeline", F.lit("fitted"))

@@ -76,25 +76,44 @@ def dedupe_any(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumn("_key", key).dropDuplicates(["_key"]).drop("_key")
 
 
+def counted_keys(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None) -> DataFrame:
+    """The rows that ``dedupe_by_key`` keeps, with ``_copies``: how many rows share the key.
+
+    One aggregate over one scan; each task sends one row and one count per key.
+    Whatever is to be said about duplicates, empty and unlabelled rows and the
+    rows that stay can be read from this table.
+    """
+    parts = [F.when(~any_null(keys), F.col(k)).alias(f"_key{i}") for i, k in enumerate(keys)]
+    first = list(order_by or [])
+    order = first + [c for c in df.columns if c not in first]
+    # the least struct is the first row in ascending order, NULL before all else
+    least = F.min(F.struct(*[F.col(f"`{c}`") for c in order])).alias("_least")
+    found = df.groupBy(*parts).agg(least, F.count("*").alias("_copies"))
+    return found.select(*[F.col(f"_least.`{c}`").alias(c) for c in df.columns], "_copies")
+
+
 def cleaning_audit(df: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
-    """Row counts of every cleaning stage, as one row from one job.
+    """Row counts of every cleaning stage, as one row from one scan.
 
     ``empty_rows`` and ``unlabelled_rows`` are the loss of their own stage; the
     ``*_cumulative`` columns count the loss since the start.
     """
-    total = df.agg(F.count("*").alias("total_rows"))
-    kept = dedupe_by_key(df, keys).agg(
+    return audit_of(counted_keys(df, keys), df.columns, label)
+
+
+def audit_of(keyed: DataFrame, columns: Sequence[str], label: str, by: Sequence[str] = ()) -> DataFrame:
+    """The audit of a ``counted_keys`` table whose rows consist of ``columns``, one row for each value of ``by``."""
+    empty = all_null(columns)
+    counts = keyed.groupBy(*by).agg(
+        F.coalesce(F.sum("_copies"), F.lit(0)).alias("total_rows"),
         F.count("*").alias("distinct_rows"),
-        F.count_if(all_null(df.columns)).alias("empty_rows"),
-        F.count_if(F.col(label).isNull() & ~all_null(df.columns)).alias("unlabelled_rows"),
-    )
-    # Two one-row tables side by side, without a join.
-    counts = total.unionByName(kept, allowMissingColumns=True).agg(
-        *[F.max(c).alias(c) for c in ("total_rows", "distinct_rows", "empty_rows", "unlabelled_rows")]
+        F.count_if(empty).alias("empty_rows"),
+        F.count_if(F.col(label).isNull() & ~empty).alias("unlabelled_rows"),
     )
     duplicates = F.col("total_rows") - F.col("distinct_rows")
     lost = duplicates + F.col("empty_rows") + F.col("unlabelled_rows")
     return counts.select(
+        *by,
         "total_rows",
         duplicates.alias("duplicate_rows"),
         "empty_rows",

@@ -199,7 +199,7 @@ def exact_quantiles(
     df = df.select(*[nan_to_null(c).alias(c) for c in columns])
     targets = [_Target(c, p, F.col(c)) for c in columns for p in probs]
     # Twice the rank error of the sketch; less if that would hardly narrow.
-    margin = min(0.2, 2 * 2.296 / k**0.9021)
+    margin = min(0.2, 2 * sketch_error(k))
 
     spread = [_clip(p + d) for p in probs for d in (-margin, margin)]
     sketches = sketch_quantiles(df, {c: (F.col(c), spread) for c in columns}, k)
@@ -254,6 +254,46 @@ def quartiles(df: DataFrame, columns: Sequence[str], exact: bool = True, k: int
     )
 
 
+def sketch_error(k: int = 4096) -> float:
+    """Rank error of a sketch as a share of the rows: the published bound of its kind, at 99 %."""
+    return 2.296 / k**0.9021
+
+
+def rank_certificate(df: DataFrame, found: dict[str, Sequence[float | None]], probs: Sequence[float] = QUARTILES) -> DataFrame:
+    """(column, prob, value, n, below, upto, rank_error): how far off each proposed quantile truly is.
+
+    One pass counts, for all columns together, the values below and up to each proposed
+    one. The wanted rank is the least that covers ``prob`` of the ``n`` values;
+    ``rank_error`` is its distance to the ranks that the value holds, as a share of
+    ``n``: 0 certifies the exact quantile, whatever proposed it. A column without
+    values, or without a proposal, has NULL.
+    """
+    columns = list(found)
+    values = df.select(*[nan_to_null(c).alias(c) for c in columns])
+    tests = []
+    for j in range(len(probs)):
+        bound = _of_column([found[c][j] for c in columns])
+        tests += [F.count_if(F.col("value") < bound), F.count_if(F.col("value") <= bound)]
+    counted = _long(values, columns).groupBy("id").agg(F.count("*").alias("n"), F.array(*tests).alias("counts")).collect()
+    counted = {r["id"]: r for r in counted}
+    rows = []
+    for i, c in enumerate(columns):
+        n = counted[i]["n"] if i in counted else 0
+        for j, p in enumerate(probs):
+            value = found[c][j]
+            below, upto = counted[i]["counts"][2 * j : 2 * j + 2] if n else (0, 0)
+            rank = max(1, math.ceil(p * n))
+            off = max(0, below + 1 - rank, rank - upto) / n if n and value is not None else None
+            rows.append((c, float(p), value, n, below, upto, off))
+    return df.sparkSession.createDataFrame(rows, "column string, prob double, value double, n long, below long, upto long, rank_error double")
+
+
+def certified_quartiles(df: DataFrame, columns: Sequence[str], k: int = 4096) -> DataFrame:
+    """Quartiles from one sketch pass with the ``rank_certificate`` of each."""
+    sketches = sketch_quantiles(df, {c: (nan_to_null(c), QUARTILES) for c in columns}, k)
+    return rank_certificate(df, {c: q or [None] * len(QUARTILES) for c, (_, q) in sketches.items()})
+
+
 def fences(q1: float, q3: float) -> tuple[float, float]:
     """Outlier limits: one and a half interquartile ranges off the quartiles."""
     reach = 1.5 * (q3 - q1)

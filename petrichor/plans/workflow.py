@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators import curves, evaluate as metrics
 from ..operators.clean import (
-    cleaning_audit,
+    audit_of,
+    counted_keys,
     dedupe_by_key,
     drop_columns,
     drop_empty_rows,
@@ -21,7 +22,7 @@ from ..operators.clean import (
 from ..operators.codes import CategoryPreparation
 from ..operators.encode import assembler, one_hot_encoder
 from ..operators.impute import IqrCapImputer
-from ..operators.split import side_of, split_by_key
+from ..operators.split import side_of
 from ..functions.columns import month_of
 from ..session import landed
 from ..sources.sinks import save_model
@@ -43,18 +44,40 @@ def clean(df: DataFrame, features: FeatureSet, labelled: bool = True) -> DataFra
     return df.withColumn(features.month, month_of(features.date)) if features.date else df
 
 
+def keyed_sides(df: DataFrame, features: FeatureSet, weights: Sequence[float] = (0.7, 0.3), seed: int = 0) -> DataFrame:
+    """One row per key with ``_copies`` and the ``_side`` it falls on, written once, by side.
+
+    Rows with equal keys share a side. Keys with a NULL part are one key, which goes
+    where its surviving row goes, so audits and rows of a side always agree.
+    """
+    keyed = counted_keys(select_and_null(df, features), features.keys)
+    return landed(keyed.withColumn("_side", side_of(features.keys, weights, seed)), "keys", partition_by="_side")
+
+
+def rows_of_sides(keyed: DataFrame, features: FeatureSet, sides: int) -> list[DataFrame]:
+    """The cleaned rows of each side of a ``keyed_sides`` table."""
+    rows = drop_unlabelled(drop_empty_rows_of(keyed), features.label)
+    if features.date:
+        rows = rows.withColumn(features.month, month_of(features.date))
+    return [rows.filter(F.col("_side") == i).drop("_side", "_copies") for i in range(sides)]
+
+
+def drop_empty_rows_of(keyed: DataFrame) -> DataFrame:
+    """A ``keyed_sides`` table without the rows that hold nothing but its own columns."""
+    return keyed.na.drop("all", subset=[c for c in keyed.columns if c not in ("_side", "_copies")])
+
+
+def audits_of_sides(keyed: DataFrame, features: FeatureSet) -> DataFrame:
+    """The cleaning audit of every side of a ``keyed_sides`` table, in one pass."""
+    columns = [c for c in keyed.columns if c not in ("_side", "_copies")]
+    return audit_of(keyed, columns, features.label, by=["_side"])
+
+
 def clean_sides(
     df: DataFrame, features: FeatureSet, weights: Sequence[float] = (0.7, 0.3), seed: int = 0
 ) -> list[DataFrame]:
-    """Cleaned rows, split by key.
-
-    Rows with equal keys share a side, so cleaning before the split keeps the
-    same rows as cleaning each side. They are written once, by side; the
-    fitting passes then read the columns they need from there.
-    """
-    sided = clean(df, features).withColumn("_side", side_of(features.keys, weights, seed))
-    rows = landed(sided, "clean", partition_by="_side")
-    return [rows.filter(F.col("_side") == i).drop("_side") for i in range(len(weights))]
+    """Cleaned rows, split by key; the fitting passes read the columns they need."""
+    return rows_of_sides(keyed_sides(df, features, weights, seed), features, len(weights))
 
 
 def preparation_stages(features: FeatureSet, labelled: bool = False) -> list[Estimator]:
@@ -97,11 +120,14 @@ def flat_stages(model: PipelineModel) -> list:
 
 @dataclass
 class Trained:
+    """``audits`` has one table for each side; ``sides`` are their rows, of which the first two are ``train`` and ``test``."""
+
     model: PipelineModel
     train: DataFrame
     test: DataFrame
     predictions: DataFrame
-    audits: tuple[DataFrame, DataFrame]
+    audits: tuple[DataFrame, ...]
+    sides: tuple[DataFrame, ...] = ()
 
 
 def train(
@@ -112,17 +138,17 @@ def train(
     weights: Sequence[float] = (0.7, 0.3),
     seed: int = 0,
 ) -> Trained:
-    """Clean, split by key, fit on the first side and score the second."""
-    nulled = select_and_null(df, features)
-    audits = tuple(
-        cleaning_audit(side, features.keys, features.label)
-        for side in split_by_key(nulled, features.keys, weights, seed)[:2]
-    )
-    train_rows, test_rows = clean_sides(df, features, weights, seed)
-    model = pipeline(features, learner).fit(train_rows)
+    """Clean, split by key into two sides or more, fit on the first and score the second."""
+    if len(weights) < 2:
+        raise ValueError("training needs two sides at least")
+    keyed = keyed_sides(df, features, weights, seed)
+    audits = audits_of_sides(keyed, features)
+    sides = rows_of_sides(keyed, features, len(weights))
+    model = pipeline(features, learner).fit(sides[0])
     if model_path:
         save_model(model, model_path)
-    return Trained(model, train_rows, test_rows, model.transform(test_rows), audits)
+    each = tuple(audits.filter(F.col("_side") == i).drop("_side") for i in range(len(weights)))
+    return Trained(model, sides[0], sides[1], model.transform(sides[1]), each, tuple(sides))
 
 
 def score(df: DataFrame, features: FeatureSet, model: PipelineModel) -> DataFrame:

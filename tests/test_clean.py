@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from petrichor.functions.columns import key_fraction, month_of
@@ -114,3 +116,29 @@ def test_split_random_and_folds(spark):
     assert sorted(folds) == [0, 1, 2, 3, 4] and min(folds.values()) > 300
     place = df.select(key_fraction(["id"], 1).alias("f")).agg(F.min("f"), F.max("f")).first()
     assert 0 <= place[0] and place[1] < 1
+
+
+def test_counted_keys_are_the_kept_rows_with_their_copies(spark):
+    rng = random.Random(2)
+    rows = [(rng.choice([None, "a", "b"]), rng.choice([None, 1, 2]), rng.choice([None, float("nan"), -0.5, 3.0]), rng.choice(["Yes", None])) for _ in range(300)]
+    df = spark.createDataFrame(rows, "k string, `l` int, v double, target string").repartition(5)
+    counted = clean.counted_keys(df, ["k", "l"])
+    pick = lambda d: sorted(map(repr, d.select("k", "l", "v", "target").collect()))
+    assert pick(counted) == pick(clean.dedupe_by_key(df, ["k", "l"]))
+    copies = {(r.k, r.l) if r.k is not None and r.l is not None else None: r["_copies"] for r in counted.collect()}
+    expected = {}
+    for k, l, *_ in rows:
+        key = (k, l) if k is not None and l is not None else None
+        expected[key] = expected.get(key, 0) + 1
+    assert copies == expected
+    audit = clean.cleaning_audit(df, ["k", "l"], "target").first()
+    kept = clean.drop_unlabelled(clean.drop_empty_rows(clean.dedupe_by_key(df, ["k", "l"])), "target")
+    assert (audit.total_rows, audit.duplicate_rows, audit.kept_rows) == (300, 300 - len(expected), kept.count())
+
+
+def test_audit_scans_once(spark):
+    rows = spark.range(5).selectExpr("id AS k", "id AS v", "'Yes' AS target")
+    plan = clean.cleaning_audit(rows, ["k"], "target")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (") == 1
+    none = clean.cleaning_audit(rows.where("k > 9"), ["k"], "target").first()
+    assert (none.total_rows, none.kept_rows, none.unclassified_rate) == (0, 0, None)

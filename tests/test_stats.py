@@ -146,3 +146,22 @@ def test_top_k_and_spread(spark):
     assert [r.v for r in stats.top_k(df, [F.desc("v")], 2).collect()] == [4.0, 3.0]
     assert stats.sample_stddev(df, "v").first().stddev == pytest.approx(1.2909944487358056)
     assert stats.distinct_values(df.union(df), "v").count() == 4
+
+
+def test_certificates_are_the_true_rank_errors(spark):
+    values = [float(v) for v in range(1, 101)] + [50.0] * 20
+    rows = spark.createDataFrame([(v, None if v > 50 else v, None) for v in values] + [(float("nan"), None, None), (None, 7.0, None)], "a double, b double, c double")
+    exact = stats.exact_quantiles(rows, ["a", "b", "c"])
+    for r in stats.rank_certificate(rows, exact).collect():
+        assert r.rank_error == (None if r.column == "c" else 0.0), r
+    assert {r.column: r.n for r in stats.rank_certificate(rows, exact).collect()} == {"a": 120, "b": 71, "c": 0}
+    off = {r.prob: r for r in stats.rank_certificate(rows, {"a": [25.0, 50.0, 95.5]}).collect()}
+    assert (off[0.25].below, off[0.25].upto, off[0.25].rank_error) == (24, 25, 5 / 120)
+    assert (off[0.5].below, off[0.5].upto, off[0.5].rank_error) == (49, 70, 0.0)
+    assert (off[0.75].below, off[0.75].upto, off[0.75].rank_error) == (115, 115, 26 / 120)
+
+
+def test_sketched_quartiles_come_with_their_error(spark):
+    rows = spark.range(200_000).selectExpr("double(id % 70000) AS v", "double(pow(id, 0.3)) AS w")
+    found = stats.certified_quartiles(rows, ["v", "w"], k=256).collect()
+    assert len(found) == 6 and all(r.n == 200_000 and r.upto > r.below and r.rank_error <= 2 * stats.sketch_error(256) for r in found)

@@ -6,6 +6,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from petrichor.catalog import registry
 from petrichor.operators import encode, split
 from petrichor.plans import learners, presets, workflow
 from petrichor.session import landed, shared_dir
@@ -172,3 +173,22 @@ def test_intermediate_tables(spark):
     df = landed(spark.range(10).withColumn("side", F.col("id") % 2), "t", partition_by="side")
     assert df.filter("side = 1").count() == 5 and df.columns == ["id", "side"]
     assert shared_dir(spark, "x") != shared_dir(spark, "x")
+
+
+def test_audits_of_null_keys_and_of_three_sides_agree_with_the_rows(weather):
+    rows = weather.withColumn("Location", F.when(F.col("Humidity9am") > 3, F.col("Location")))
+    trained = workflow.train(rows, presets.NUMERIC9, learners.decision_tree(), weights=(0.5, 0.3, 0.2))
+    audits = [a.first() for a in trained.audits]
+    assert [a.kept_rows for a in audits] == [s.count() for s in trained.sides] and len(audits) == 3
+    assert sum(a.total_rows for a in audits) == rows.count()
+    with pytest.raises(ValueError, match="two sides"):
+        workflow.train(rows, presets.NUMERIC9, learners.decision_tree(), weights=(1.0,))
+
+
+@pytest.mark.parametrize("kind,setting", [("decision_tree", "bins49"), ("logistic_regression", "selected"), ("random_forest", "deep")])
+def test_published_settings_on_the_observations(spark, small, kind, setting):
+    """Their class has nothing to do with the features, so only shape and sanity can be told."""
+    trained = registry.train_observations(spark, small, getattr(learners, kind)(setting))
+    report = registry._report("x", trained.predictions).first()
+    assert report.tp + report.fp + report.tn + report.fn == trained.predictions.count() > 500
+    assert 0.3 < report.accuracy < 0.7 and 0.3 < report.auc_roc < 0.7
