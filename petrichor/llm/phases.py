@@ -37,6 +37,28 @@ def computed_once(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.when(F.spark_partition_id() >= 0, F.col(column)))
 
 
+#: A row's slot: 31 bits of its text's hash above 32 bits for a place in the text.
+PLACE = (1 << 32) - 1
+
+
+def with_tags(docs: DataFrame, phases: "Phases") -> DataFrame:
+    """``docs`` (doc_id, text) with ``tag``, which tells rows of one doc_id apart by their texts.
+
+    The tag is a hash, taken with the first seed under which no two different texts
+    of one doc_id share it. Only rows whose doc_id repeats are looked at for that.
+    """
+    tag = lambda seed: F.shiftleft(F.xxhash64("text", F.lit(seed)).bitwiseAND(F.lit((1 << 31) - 1)), 32)
+    again = phases.land(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "repeated-ids")
+    seed = 0
+    if not again.isEmpty():
+        rows = phases.land(docs.join(again, "doc_id", "left_semi").select("doc_id", F.sha2("text", 256).alias("h"), *[tag(s).alias(f"t{s}") for s in range(8)]), "repeated-rows")
+        clashes = lambda s: not rows.groupBy("doc_id", f"t{s}").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a <> b").isEmpty()
+        seed = next((s for s in range(8) if not clashes(s)), None)
+        if seed is None:
+            raise ValueError("too many different texts share a doc_id to be told apart")
+    return docs.withColumn("tag", tag(seed))
+
+
 class Phases:
     """Tables that one operator call writes under ``spark.checkpoint.dir``.
 

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .phases import Phases
+from .phases import PLACE, Phases, with_tags
 from .words import Words, chunks, covered, joined, rolling, text_array
 
 #: Perfect difference sets by period (fixed values).
@@ -30,10 +30,6 @@ def cover_for(window: int) -> tuple[int, tuple[int, ...]]:
     return period, COVERS[period]
 
 
-#: A row is known by its doc_id and 15 bits of its text's hash, so rows that repeat a doc_id stay apart.
-_TAG = "shiftleft(xxhash64(text) & 32767, 48)"
-
-
 def _anchors(window: int):
     period, cover = cover_for(window)
     width = window - period + 1
@@ -90,8 +86,8 @@ def _places(slots: pa.Array, lo: int, hi: int, tags: np.ndarray, words: Words) -
     counts = part.value_lengths().fill_null(0).to_numpy(False)
     row = np.repeat(np.arange(hi - lo), counts)
     slot = part.flatten().to_numpy(False).astype(np.int64)
-    mine = (slot >> 48) << 48 == tags[lo:hi][row]
-    return (slot & ((1 << 48) - 1))[mine], row[mine]
+    mine = slot & ~PLACE == tags[lo:hi][row]
+    return (slot & PLACE)[mine], row[mine]
 
 
 def _strip(window: int):
@@ -123,7 +119,7 @@ def remove_repeated_words(docs: DataFrame, window: int = 50) -> DataFrame:
     """
     phases = Phases(docs.sparkSession, "substring")
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    rows = rows.withColumn("tag", F.expr(_TAG))
+    rows = with_tags(rows, phases)
     known = rows.where("doc_id is not null")
     anchors = phases.land(known.mapInArrow(_anchors(window), "anchor long, doc_id long, slot long"), "anchors")
     shared = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")

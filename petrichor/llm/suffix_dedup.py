@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .phases import Phases
+from .phases import PLACE, Phases, with_tags
 from .suffix_sort import deep_shallow
 from .words import CODES, POWERS, chunks, mix, rolling, text_array
 
@@ -25,8 +25,6 @@ from .words import CODES, POWERS, chunks, mix, rolling, text_array
 TILE_CLASSES = 4096
 #: Suffixes that a task sorts at a time.
 SORT_ROWS = 1 << 19
-_PLACE = (1 << 48) - 1
-_TAG = "shiftleft(xxhash64(text) & 32767, 48)"
 
 
 def gram_for(length: int) -> int:
@@ -118,11 +116,11 @@ def _bytes_of(length: int):
                 part = lists.slice(lo, hi - lo)
                 row = np.repeat(np.arange(hi - lo), part.value_lengths().fill_null(0).to_numpy(False))
                 flat = {f: x.to_numpy(False) for f, x in zip(("slot", "n", "gram", "tile", "tiles"), part.flatten().flatten())}
-                mine = (flat["slot"] >> 48) << 48 == tags[lo:hi][row]
+                mine = flat["slot"] & ~PLACE == tags[lo:hi][row]
                 row, flat = row[mine], {f: x[mine] for f, x in flat.items()}
                 size = flat["n"].astype(np.int64) + length - 1
                 bounds = np.append(0, np.cumsum(size))
-                at = (flat["slot"] & _PLACE) + offsets[:-1][row] - bounds[:-1]
+                at = (flat["slot"] & PLACE) + offsets[:-1][row] - bounds[:-1]
                 body = data[np.arange(int(bounds[-1])) + np.repeat(at, size)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(flat["gram"]), pa.array(flat["tile"]), pa.array(flat["tiles"]), pa.array(ids[lo:hi][row]), pa.array(flat["slot"]), pa.array(flat["n"]), text_array(body, bounds, binary=True)],
@@ -214,8 +212,8 @@ def _strip(length: int):
                 row = np.repeat(np.arange(hi - lo), part.value_lengths().fill_null(0).to_numpy(False))
                 flat = part.flatten()
                 slot, n = flat.field(0).to_numpy(False).astype(np.int64), flat.field(1).to_numpy(False).astype(np.int64)
-                mine = (slot >> 48) << 48 == tags[lo:hi][row]
-                row, slot, n = row[mine], slot[mine] & _PLACE, n[mine]
+                mine = slot & ~PLACE == tags[lo:hi][row]
+                row, slot, n = row[mine], slot[mine] & PLACE, n[mine]
                 begin = slot + offsets[:-1][row]
                 change = np.bincount(begin, minlength=len(data) + 1) - np.bincount(begin + n + length - 1, minlength=len(data) + 1)
                 gone = np.cumsum(change)[: len(data)] > 0
@@ -246,7 +244,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50) -> DataFrame:
     phases = Phases(docs.sparkSession, "suffix")
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    rows = rows.withColumn("tag", F.expr(_TAG))
+    rows = with_tags(rows, phases)
     known = rows.where("doc_id is not null")
     grams = known.mapInArrow(_grams(length), "gram long, doc_id long")
     shared = phases.land(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "shared")
