@@ -18,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .phases import Phases
+from .phases import Phases, computed_once
 
 #: Characters of a word that count; inflected forms share them.
 STEM = 5
@@ -31,9 +31,14 @@ def words_of(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"[\x20\x09-\x0D]+"))
 
 
+def beginnings(words: Column) -> Column:
+    """The lower-cased beginnings of words, repeats included."""
+    return F.transform(words, lambda w: F.lower(F.substring(w, 1, STEM)))
+
+
 def stems(words: Column) -> Column:
     """The distinct lower-cased beginnings of words."""
-    return F.array_distinct(F.transform(words, lambda w: F.lower(F.substring(w, 1, STEM))))
+    return F.array_distinct(beginnings(words))
 
 
 @dataclass(frozen=True)
@@ -66,7 +71,8 @@ def fit_model(docs: DataFrame, labelled: DataFrame, per_domain: int = 2000, doma
     chosen = marks.where(draw < F.coalesce(F.try_element_at(share, F.col("domain")), F.lit(0.0)))
     chosen = F.broadcast(chosen.limit(2 * per_domain * domains))  # at most so many ids are sent
     sample = docs.select("doc_id", "text").join(chosen, "doc_id").select("domain", stems(words_of(F.col("text"))).alias("stems"))
-    sample = phases.land(sample.where("size(stems) > 0"), "sample")
+    # the filter must not move below the join, or the stems of all documents are made for it
+    sample = phases.land(computed_once(sample, "stems").where("size(stems) > 0"), "sample")
     rows = {r["domain"]: r["count"] for r in sample.groupBy("domain").count().collect()}
     if not rows:
         return None
@@ -122,7 +128,10 @@ def posteriors(model: Model, s: Column) -> Column:
 def with_posteriors(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``__m_tokens`` (words, long) and ``__m_p``."""
     out = docs.withColumn("__m_words", words_of(F.col("text")))
-    out = out.withColumn("__m_tokens", F.size("__m_words").cast("long")).withColumn("__m_stems", stems(F.col("__m_words")))
+    telling = sorted({w for odds in model.odds for w in odds})
+    # few of a text's stems tell anything: these are picked first, which also drops repeats
+    picked = F.array_intersect(beginnings(F.col("__m_words")), F.array(*map(F.lit, telling)).cast("array<string>"))
+    out = out.withColumn("__m_tokens", F.size("__m_words").cast("long")).withColumn("__m_stems", picked)
     out = out.drop("__m_words").withColumn("__m_s", scores(model, F.col("__m_stems"))).drop("__m_stems")
     return out.withColumn("__m_p", posteriors(model, F.col("__m_s"))).drop("__m_s")
 
