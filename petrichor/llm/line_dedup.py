@@ -7,6 +7,12 @@ to a few substrings: each line is indexed by (its length, segment number,
 segment) and probes the lengths up to ``distance`` below its own with its own
 substrings at those places. Lines that meet are verified by the banded
 bit-parallel edit distance, unless their letter counts already rule them out.
+
+All that is asked of a line is whether a similar one stands earlier. Under a
+segment that more than ``CROWD`` lines have, each line is compared with the
+earliest of them; those that this doesn't settle are compared with the others in
+arrays of ``TILE`` lines, each giving one answer. So rows grow with the lines and
+not with their pairs, and no pair is left out.
 """
 
 from __future__ import annotations
@@ -17,48 +23,45 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .phases import Phases, computed_once
 
+#: Lines under a segment above which they aren't paired one by one, and lines of an array.
+CROWD, TILE = 16, 64
 
-def segments(length: Column, distance: int) -> list[tuple[Column, Column]]:
-    """(first place from 1, size) of each segment of a line; the last ones take the remainder."""
-    parts = distance + 1
-    size, rest = F.floor(length / parts).cast("int"), (length % parts).cast("int")
-    out = []
-    for i in range(parts):
-        longer = F.greatest(F.lit(0), F.lit(i) - (parts - rest))  # segments before it that are one longer
-        out.append((F.lit(i) * size + longer + 1, size + (F.lit(i) >= parts - rest).cast("int")))
-    return out
 
+def segment(length: Column, i: Column, distance: int) -> tuple[Column, Column]:
+    """(first place from 1, size) of segment ``i`` of a line; the last segments take the remainder."""
+    parts = distance + 1
+    size, longer = F.floor(length / parts).cast("int"), i - (parts - length % parts)
+    return i * size + F.greatest(longer, F.lit(0)) + 1, size + (longer >= 0).cast("int")
 
-def windows(line: Column, length: Column, distance: int) -> list[Column]:
-    """For each segment, the part of the line that holds it and all substrings that probe for it."""
-    edge = 2 * distance + 1
-    return [F.substring(line, F.greatest(p - edge, F.lit(1)), n + 2 * edge + 1) for p, n in segments(length, distance)]
 
+def _key(line: Column, length: Column, i: Column, start: Column, size: Column) -> Column:
+    return F.xxhash64(length, i, F.substring(line, start, size))
 
-def _part(window: Column, i: int, length: Column, distance: int, start: Column, size: Column) -> Column:
-    """``size`` characters of the line from ``start``, by way of segment i's window."""
-    first = F.greatest(segments(length, distance)[i][0] - (2 * distance + 1), F.lit(1))
-    return F.substring(window, start - first + 1, size)
 
+def index_rows(lines: DataFrame, distance: int, *keep: str) -> DataFrame:
+    """``keep`` and ``key`` of ``lines`` (line, n, ...), a row for each segment."""
+    rows = lines.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(distance))))
+    return rows.select(_key(F.col("line"), F.col("n"), F.col("i"), *segment(F.col("n"), F.col("i"), distance)).alias("key"), *keep)
 
-def index_keys(window: list[Column], length: Column, distance: int) -> list[Column]:
-    return [
-        F.xxhash64(length, F.lit(i), _part(window[i], i, length, distance, p, n))
-        for i, (p, n) in enumerate(segments(length, distance))
-    ]
 
+def probe_rows(lines: DataFrame, distance: int, *keep: str) -> DataFrame:
+    """``keep`` and ``key`` of ``lines``, a row for each substring that can hold a segment of an indexed line no longer than this one.
 
-def probe_keys(window: list[Column], length: Column, distance: int) -> list[Column]:
-    """Keys of the substrings that can hold a segment of an indexed line no longer than this one."""
-    keys = []
-    for less in range(distance + 1):
-        for i, (p, n) in enumerate(segments(length - less, distance)):
-            low, high = max(-i, less - (distance - i)), min(i, less + (distance - i))
-            for shift in range(low, high + 1):
-                inside = (p + shift >= 1) & (p + shift + n - 1 <= length)
-                text = _part(window[i], i, length, distance, p + shift, n)
-                keys.append(F.when(inside, F.xxhash64(length - less, F.lit(i), text)))
-    return keys
+    One short expression over (difference of lengths, segment, shift), not one for each: Spark compiles it whole.
+    """
+    wanted = [
+        (less, i, shift)
+        for less in range(distance + 1)
+        for i in range(distance + 1)
+        for shift in range(max(-i, less - (distance - i)), min(i, less + (distance - i)) + 1)
+    ]
+    places = F.array(*[F.struct(*[F.lit(v).alias(name) for v, name in zip(w, ("less", "i", "shift"))]) for w in wanted])
+    rows = lines.select("*", F.inline(places))
+    length = F.col("n") - F.col("less")
+    start, size = segment(length, F.col("i"), distance)
+    start = start + F.col("shift")
+    inside = (start >= 1) & (start + size - 1 <= F.col("n"))
+    return rows.where(inside).select(_key(F.col("line"), length, F.col("i"), start, size).alias("key"), *keep)
 
 
 #: Bits of the word that holds a column of differences; the band uses the highest 2 * distance + 1.
@@ -157,40 +160,83 @@ def _exploded(docs: DataFrame, min_chars: int, short_lines: bool) -> DataFrame:
     return lines.select("doc_id", "row", "place", "line", h.alias("h"), g.alias("g"))
 
 
-def similar_lines(distinct: DataFrame, distance: int, phases: Phases) -> DataFrame:
-    """(h, other): hashes of distinct lines within ``distance`` edits, each pair once in either direction."""
-    sized = distinct.select("h", "line", F.length("line").alias("n"), signature(F.col("line")).alias("s"))
-    cut = windows(F.col("line"), F.col("n"), distance)
-    sized = computed_once(sized.select("h", "n", "s", *[w.alias(f"w{i}") for i, w in enumerate(cut)]), "n")
-    window, n = [F.col(f"w{i}") for i in range(distance + 1)], F.col("n")
-    index = sized.select(F.explode(F.array(*index_keys(window, n, distance))).alias("key"), F.col("h").alias("a"), F.col("s").alias("s"))
-    probe = sized.select(F.explode(F.array(*probe_keys(window, n, distance))).alias("key"), F.col("h").alias("b"), F.col("s").alias("t"))
-    close = (F.col("a") != F.col("b")) & may_be_close(F.col("s"), F.col("t"), distance)
-    met = index.join(probe.where("key is not null"), (index.key == probe.key) & close)
-    met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    met = phases.land(met, "candidates")
-    phases.release()
-    asked = met.select(F.explode(F.array("a", "b")).alias("h"), "a", "b")
-    texts = asked.hint("merge").join(distinct.select("h", "line"), "h").groupBy("a", "b").agg(
-        F.max_by("line", F.col("h") == F.col("a")).alias("x"), F.max_by("line", F.col("h") == F.col("b")).alias("y")
+def _verified(pairs: DataFrame, lines: DataFrame, distance: int, phases: Phases, name: str) -> DataFrame:
+    """(h): of landed pairs (a, b) within ``distance`` edits, the line that first stands later.
+
+    Letter counts are made for these pairs alone, and rule most of them out before any alignment.
+    """
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("asked"), "a", "b")
+    texts = lines.select(F.col("h").alias("asked"), F.struct("line", "first").alias("text"))
+    texts = asked.hint("merge").join(texts, "asked").groupBy("a", "b").agg(
+        F.max_by("text", F.col("asked") == F.col("a")).alias("x"), F.max_by("text", F.col("asked") == F.col("b")).alias("y")
     )
-    chars = texts.select("a", "b", F.split("x", "").alias("x"), F.split("y", "").alias("y"))
-    close = computed_once(chars, "x").where(F.abs(F.size("x") - F.size("y")) <= distance)
+    marked = computed_once(texts.withColumns({"s": signature(F.col("x.line")), "t": signature(F.col("y.line"))}), "s")
+    marked = marked.where(may_be_close(F.col("s"), F.col("t"), distance) & (F.col("x.first") != F.col("y.first")))
+    later = F.when(F.col("x.first") > F.col("y.first"), F.col("a")).otherwise(F.col("b"))
+    chars = computed_once(marked.select(later.alias("h"), F.split("x.line", "").alias("x"), F.split("y.line", "").alias("y")), "x")
+    close = chars.where(F.abs(F.size("x") - F.size("y")) <= distance)
     close = close.withColumn("edits", edit_distance(F.col("x"), F.col("y"), distance)).where(F.col("edits") <= distance)
-    close = phases.land(close.select("a", "b"), "similar")
-    phases.drop(met)
-    return close.select(F.col("a").alias("h"), F.col("b").alias("other")).union(close.select("b", "a"))
+    return phases.land(close.select("h").distinct(), name)
+
 
+def _pairs(met: DataFrame) -> DataFrame:
+    return met.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-def scaled_links(distinct: DataFrame, distance: int, min_chars: int, phases: Phases) -> list[DataFrame]:
-    """Links of lines of ``min_chars`` or more, then, for each smaller number of edits, of those that are long enough for it only."""
-    n = F.length("line")
-    links = [similar_lines(distinct.where(n >= min_chars), distance, phases)]
+
+def similar_earlier(lines: DataFrame, distance: int, phases: Phases) -> DataFrame:
+    """(h): the ``lines`` (h, line, n, first) with an earlier one within ``distance`` edits; first says where a line stands first."""
+    index = index_rows(lines.withColumnRenamed("h", "a"), distance, "a")
+    probe = probe_rows(lines.withColumnRenamed("h", "b"), distance, "b")
+    known = index_rows(lines, distance, "h", "first")
+    hot = known.groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("first", "h")).alias("least")).where(F.col("k") > CROWD)
+    hot = phases.land(hot.select("key", F.col("least.h").alias("a")), "hot-keys")
+    few = index.join(hot.select("key"), "key", "left_anti").join(probe, "key")
+    met = phases.land(_pairs(few), "candidates")
+    phases.release()
+    found = _verified(met, lines, distance, phases, "similar")
+    phases.drop(met)
+    if hot.isEmpty():
+        return found
+    # a line probes with its own segments too, so the probes of a key are all its lines
+    members = phases.land(probe.join(hot, "key").select("b", "a"), "members")
+    star = phases.land(_pairs(members), "stars")
+    found = phases.land(found.union(_verified(star, lines, distance, phases, "star-similar")).distinct(), "settled")
+    crowd = lines.join(members.select(F.col("b").alias("h")).distinct(), "h", "left_semi").withColumn("s", signature(F.col("line")))
+    crowd = phases.land(crowd, "crowd")
+    phases.drop(star, members)
+    rest = [found]
+    for one, other in ((probe_rows, index_rows), (index_rows, probe_rows)):
+        # those not settled yet, against all lines of the other role under their key
+        open_ = crowd.join(found, "h", "left_anti")
+        asked = one(open_, distance, "h", "line", "s", "first").join(hot.select("key"), "key")
+        held = other(crowd, distance, "h", "line", "s", "first").join(hot.select("key"), "key")
+        sizes = held.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
+        sizes = phases.land(sizes, "tiles")
+        held = held.join(sizes, "key").withColumn("tile", F.pmod(F.xxhash64("h", F.lit(5)), F.col("tiles")).cast("int"))
+        held = held.groupBy("key", "tile").agg(F.collect_list(F.struct("h", "line", "s", "first")).alias("held"))
+        asked = asked.join(sizes, "key").withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        asked = asked.withColumn("chars", F.split("line", ""))
+        both = computed_once(asked.join(held, ["key", "tile"]).select("h", "s", "first", "chars", "held"), "chars")
+        rest.append(phases.land(both.where(F.exists("held", lambda x: _like(x, distance))).select("h").distinct(), "tile-similar"))
+    return reduce(DataFrame.union, rest).distinct()
+
+
+def _like(x: Column, distance: int) -> Column:
+    """Whether line ``x`` of an array stands before the row's line and is similar; what costs little comes first."""
+    sized = F.abs(F.length(x["line"]) - F.size("chars")) <= distance
+    cheap = (x["first"] < F.col("first")) & (x["h"] != F.col("h")) & may_be_close(x["s"], F.col("s"), distance) & sized
+    return F.when(cheap, edit_distance(F.col("chars"), F.split(x["line"], ""), distance) <= distance).otherwise(False)
+
+
+def scaled_earlier(lines: DataFrame, distance: int, min_chars: int, phases: Phases) -> list[DataFrame]:
+    """Similar lines of ``min_chars`` or more, then, for each smaller number of edits, of those that are long enough for it only."""
+    n = F.col("n")
+    found = [similar_earlier(lines.where(n >= min_chars), distance, phases)]
     for edits in range(distance - 1, 0, -1):
         low, high = -(-min_chars * edits // distance), -(-min_chars * (edits + 1) // distance) - 1
         # the shorter line of a pair decides, so the longer one may have the length of the next class
-        links.append(similar_lines(distinct.where(n.between(low, high + edits)), edits, phases))
-    return links
+        found.append(similar_earlier(lines.where(n.between(low, high + edits)), edits, phases))
+    return found
 
 
 def without_similar_lines(docs: DataFrame, distance: int = 2, min_chars: int = 24, short_lines: bool = False) -> DataFrame:
@@ -213,21 +259,20 @@ def without_similar_lines(docs: DataFrame, distance: int = 2, min_chars: int = 2
     phases = Phases(docs.sparkSession, "lines")
     found = _exploded(docs, min_chars, short_lines)
     first = found.where("h is not null").groupBy("h", "g").agg(F.min(F.struct("doc_id", "place", "line")).alias("first"))
-    distinct = first.select("h", "g", F.struct("first.doc_id", "first.place").alias("first"), F.col("first.line").alias("line"))
+    line = F.col("first.line")
+    distinct = first.select("h", "g", F.struct("first.doc_id", "first.place").alias("first"), line.alias("line"), F.length(line).alias("n"))
     distinct = phases.land(distinct, "distinct")
     phases.release()
+    lines = distinct.drop("g")
     if short_lines:
-        links = reduce(DataFrame.union, scaled_links(distinct, distance, min_chars, phases))
+        similar = reduce(DataFrame.union, scaled_earlier(lines, distance, min_chars, phases)).distinct()
     else:
-        links = similar_lines(distinct, distance, phases)
-    place = distinct.select("h", "g", "first")
-    other = place.select(F.col("h").alias("other"), F.col("first").alias("seen"))
-    seen = links.join(other, "other").groupBy("h").agg(F.min("seen").alias("seen"))
-    earliest = place.join(seen, "h", "left").select("h", "g", F.least("first", F.coalesce("seen", "first")).alias("seen"))
-    earliest = phases.land(earliest, "earliest")
+        similar = similar_earlier(lines, distance, phases)
+    earliest = distinct.select("h", "g", "first").join(similar.withColumn("similar", F.lit(True)), "h", "left")
+    earliest = phases.land(earliest.select("h", "g", F.col("first").alias("seen"), F.coalesce("similar", F.lit(False)).alias("similar")), "earliest")
     phases.drop(distinct)
     flags = found.drop("line").join(earliest, ["h", "g"], "left")
-    gone = F.coalesce(F.col("seen") < F.struct("doc_id", "place"), F.lit(False))
+    gone = F.coalesce(F.col("similar") | (F.col("seen") < F.struct("doc_id", "place")), F.lit(False))
     flags = flags.select("doc_id", "row", "place", gone.alias("gone")).distinct()
     flags = flags.groupBy("doc_id", "row").agg(
         F.sort_array(F.collect_list(F.struct("place", "gone"))).alias("__l_flags"), F.count_if("gone").alias("__l_removed")
