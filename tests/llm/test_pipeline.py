@@ -8,7 +8,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 def test_stages_keep_what_they_should(spark, small):
     import corpus_pipeline as pipeline
-    from petrichor.llm import quality_rules, simhash_dedup
+    from petrichor.llm import quality_rules, shingle_dedup
 
     docs = spark.read.parquet(f"{small}/documents.parquet")
     names = [n for n, _ in pipeline.STAGES]
@@ -23,7 +23,7 @@ def test_stages_keep_what_they_should(spark, small):
         if name == "lines":
             assert now.count() == before.count()
         if name == "copies":
-            parts = simhash_dedup.near_duplicates(before)
+            parts = shingle_dedup.near_copies(before)
             assert now.count() == parts.select("component_id").distinct().count()
     assert now.agg({"length": "sum"}).first()[0] > 0
 
