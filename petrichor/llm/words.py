@@ -80,12 +80,13 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.zeros(0, np.uint8) if data is None else np.frombuffer(data, np.uint8)), offsets.astype(np.int64)
 
 
-def chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, row after the last, bytes, offsets from 0) of about ``CHUNK_BYTES`` each."""
+def chunks(column: pa.Array, size: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, row after the last, bytes, offsets from 0) of about ``size`` bytes each, ``CHUNK_BYTES`` if none is given."""
+    size = CHUNK_BYTES if size is None else size
     data, offsets = text_buffer(column)
     lo, n = 0, len(offsets) - 1
     while lo < n:
-        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + CHUNK_BYTES, "right")) - 1)
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + size, "right")) - 1)
         yield lo, hi, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
         lo = hi
 
