@@ -1,10 +1,11 @@
 """Lexical retrieval packing: neighbours by BM25 fill each training sequence.
 
-Documents are tokenized where they are read, and land with a code of their
-content: on which side of the median they lie along the principal axes of
-idf-weighted tokens, the axis of most variance first. Document frequencies and
-the mean length are counted over the landed corpus. The rows are then
-range-partitioned by code, so that documents alike in content lie side by side
+Documents are tokenized where they are read, and land as token ids. Document
+frequencies and the mean length are counted over all of them, then the second
+moments of their idf-weighted tokens, then where they lie along the principal
+axes. A document's content code says on which side of the median it lies, the
+axis of most variance first. The rows are range-partitioned by code, so that
+documents alike in content lie side by side
 wherever they were read, and a range of a few hundred thousand tokens is a
 shard. A shard has an inverted index from token ids to the documents that hold
 them, with BM25 weights of the corpus. The document at the head of a sequence is
@@ -18,7 +19,8 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +34,12 @@ from .words import Words, chunks, mix, text_array
 K1, B = 1.2, 0.75
 #: Distinct words that a worker remembers the token ids of before it starts anew.
 REMEMBERED = 1 << 20
+#: Words that are tokenized as one text.
+JOINED = 512
 #: Axes of the content code, and columns that tokens are hashed into to find them.
 AXES, COLUMNS = 24, 1024
-#: Rows and bytes of text that the axes are learned from, and bytes of the longest text among them.
-SAMPLE_ROWS, SAMPLE_BYTES, SAMPLE_TEXT = 2000, 1 << 24, 1 << 18
+#: Steps of a unit in moments and along the axes: whole numbers, whose sums are exact in any order.
+STEPS = 1 << 11
 #: Tokens of a shard and of a task.
 SHARD_TOKENS, TASK_TOKENS = 1 << 19, 1 << 23
 
@@ -65,11 +69,21 @@ class WordTokens:
         self.keys, self.begin, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.int32)
 
+    def encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of the words one after the other, and how many each has; a token belongs to the word it starts in."""
+        parts = [texts[i : i + JOINED] for i in range(0, len(texts), JOINED)]
+        ids, size = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for part, found in zip(parts, self.tokenizer.encode_batch([" ".join(p) for p in parts], add_special_tokens=False)):
+            ends = np.cumsum([len(t) + 1 for t in part])
+            start = np.fromiter(chain.from_iterable(found.offsets), np.int64, 2 * len(found))[::2]
+            ids.append(np.array(found.ids, np.int32))
+            size.append(np.bincount(np.searchsorted(ends, start, "right"), minlength=len(part)))
+        return np.concatenate(ids), np.concatenate(size)
+
     def learn(self, keys: np.ndarray, texts: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        size = np.fromiter(map(len, found), np.int64, len(found))
+        ids, size = self.encoded(texts)
         begin = len(self.ids) + np.cumsum(size) - size
-        self.ids = np.concatenate([self.ids, np.fromiter((i for ids in found for i in ids), np.int32, int(size.sum()))])
+        self.ids = np.concatenate([self.ids, ids])
         keys, begin, size = np.append(self.keys, keys), np.append(self.begin, begin), np.append(self.size, size)
         order = np.argsort(keys, kind="stable")
         self.keys, self.begin, self.size = keys[order], begin[order], size[order]
@@ -109,7 +123,7 @@ class Corpus:
 
 @dataclass(frozen=True)
 class Router:
-    """Each token's hashed column and signed weight, the axes over the columns, and the medians along them."""
+    """Each token's hashed column and signed weight, the axes over the columns, and the medians along them in ``STEPS``."""
 
     column: np.ndarray
     weight: np.ndarray
@@ -117,31 +131,26 @@ class Router:
     medians: np.ndarray
 
     @classmethod
-    def of(cls, ids: np.ndarray, bounds: np.ndarray, tokens: int) -> Router:
-        """The principal axes of the documents' unit vectors of hashed tokens, weighted by the sample's idf."""
-        n = len(bounds) - 1
-        doc = np.repeat(np.arange(n), np.diff(bounds))
-        term = np.unique(ids.astype(np.int64) * max(n, 1) + doc) // max(n, 1)
-        idf = np.log((1 + n) / (1 + np.bincount(term, minlength=tokens)))
-        number = np.arange(1, tokens + 1, dtype=np.uint64)
+    def flat(cls, idf: np.ndarray) -> Router:
+        """Columns and weights alone, from each token's idf."""
+        number = np.arange(1, len(idf) + 1, dtype=np.uint64)
         column = (mix(number) % np.uint64(COLUMNS)).astype(np.int64)
-        weight = np.where(mix(number + np.uint64(tokens)) & np.uint64(1), idf, -idf)
-        flat = cls(column, weight, np.eye(COLUMNS), np.zeros(COLUMNS))
-        x = flat.places(ids, bounds)
-        _, axes = np.linalg.eigh(np.cov(x.T)) if n > 1 else (None, flat.axes)
-        axes = axes[:, ::-1][:, :AXES]
-        return cls(column, weight, axes, np.median(x @ axes, axis=0) if n else np.zeros(AXES))
+        weight = np.where(mix(number + np.uint64(len(idf))) & np.uint64(1), idf, -idf)
+        return cls(column, weight, np.eye(COLUMNS)[:, :AXES], np.zeros(AXES, np.int64))
 
-    def places(self, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """Where each document's unit vector lies along the axes; in small products, which take no threads of their own."""
-        out = np.zeros((len(bounds) - 1, self.axes.shape[1]))
-        for lo in range(0, len(out), 20):
-            hi = min(lo + 20, len(out))
+    def vectors(self, ids: np.ndarray, bounds: np.ndarray, step: int) -> Iterator[np.ndarray]:
+        """Unit vectors of the documents' hashed tokens, ``step`` documents at a time."""
+        for lo in range(0, len(bounds) - 1, step):
+            hi = min(lo + step, len(bounds) - 1)
             own = ids[bounds[lo] : bounds[hi]]
-            doc = np.repeat(np.arange(hi - lo), np.diff(bounds[lo : hi + 1]))
-            x = np.bincount(doc * COLUMNS + self.column[own], self.weight[own], (hi - lo) * COLUMNS).reshape(hi - lo, COLUMNS)
-            out[lo:hi] = x @ self.axes / np.maximum(np.sqrt((x * x).sum(1, keepdims=True)), 1e-12)
-        return out
+            doc = np.repeat(np.arange(0, (hi - lo) * COLUMNS, COLUMNS), np.diff(bounds[lo : hi + 1]))
+            x = np.bincount(doc + self.column[own], self.weight[own], (hi - lo) * COLUMNS).reshape(hi - lo, COLUMNS)
+            yield x / np.maximum(np.sqrt((x * x).sum(1, keepdims=True)), 1e-12)
+
+    def places(self, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Where each document lies along the axes, from -STEPS to STEPS; in small products, which take no threads of their own."""
+        found = [np.rint(x @ self.axes * STEPS).astype(np.int64) for x in self.vectors(ids, bounds, 20)]
+        return np.clip(np.concatenate([np.zeros((0, AXES), np.int64), *found]), -STEPS, STEPS)
 
     def codes(self, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         return (self.places(ids, bounds) > self.medians) @ (1 << np.arange(AXES)[::-1])
@@ -232,19 +241,70 @@ class Packer:
         self.pieces = done
 
 
-def _tokens(path: str, end: int, width: np.dtype, router):
-    """doc_id, content code, number of tokens and ids of every row."""
+def _tokens(path: str, end: int, width: np.dtype):
+    """doc_id and ids of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = WordTokens.of(path)
         for batch in batches:
             for lo, hi, data, offsets in chunks(batch["text"]):
                 ids, bounds = tokens.encode(Words(data, offsets), end)
-                code = np.zeros(hi - lo, np.int64) if router is None else router.value.codes(ids, bounds)
                 raw = text_array(ids.astype(width).view(np.uint8), bounds * width.itemsize, binary=True)
-                yield pa.RecordBatch.from_arrays(
-                    [batch["doc_id"].slice(lo, hi - lo), pa.array(code), pa.array(np.diff(bounds)), raw], ["doc_id", "code", "n", "ids"]
-                )
+                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(lo, hi - lo), raw], ["doc_id", "ids"])
+
+    return run
+
+
+def _ids(column: pa.Array, width: np.dtype) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, row after the last, ids, bounds) of a chunk of landed documents."""
+    for lo, hi, data, offsets in chunks(column):
+        yield lo, hi, data.view(width).astype(np.int32), offsets // width.itemsize
+
+
+def _moments(width: np.dtype, router):
+    """For each column, its sums of products with all columns and, last, its own sum, over the documents' vectors in ``STEPS``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((COLUMNS, COLUMNS + 1))
+        for batch in batches:
+            for _, _, ids, bounds in _ids(batch["ids"], width):
+                for x in router.value.vectors(ids, bounds, 256):
+                    x = np.rint(x * STEPS)
+                    total[:, :-1] += x.T @ x
+                    total[:, -1] += x.sum(0)
+        yield pa.RecordBatch.from_arrays([pa.array(range(COLUMNS)), pa.array([r.tobytes() for r in total], pa.binary())], ["number", "sums"])
+
+    return run
+
+
+def _added(rows: pa.Table) -> pa.Table:
+    sums = sum(np.frombuffer(r.as_buffer()) for chunk in rows["sums"].chunks for r in chunk)
+    return pa.table({"number": rows["number"][:1], "sums": pa.array([sums.tobytes()], pa.binary())})
+
+
+def _at_places(width: np.dtype, router):
+    """How many documents lie at each place of each axis."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wide = 2 * STEPS + 1
+        n = np.zeros(AXES * wide, np.int64)
+        for batch in batches:
+            for _, _, ids, bounds in _ids(batch["ids"], width):
+                n += np.bincount((router.value.places(ids, bounds) + STEPS + np.arange(AXES) * wide).ravel(), minlength=AXES * wide)
+        seen = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(seen // wide), pa.array(seen % wide - STEPS), pa.array(n[seen])], ["axis", "place", "n"])
+
+    return run
+
+
+def _coded(width: np.dtype, router):
+    """The landed rows with their content codes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            code = [router.value.codes(ids, bounds) for _, _, ids, bounds in _ids(batch["ids"], width)]
+            code = pa.array(np.concatenate([np.zeros(0, np.int64), *code]))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], code, batch["place"], batch["ids"]], ["doc_id", "code", "place", "ids"])
 
     return run
 
@@ -296,18 +356,32 @@ def _pack(width: np.dtype, size: int, shard_tokens: int, kind: pa.DataType, corp
     return run
 
 
-def _router(docs: DataFrame, path: str, end: int, width: np.dtype, tokens: int) -> Router:
-    """Axes of about ``SAMPLE_ROWS`` rows drawn by the hash of doc_id and text; a text of over ``SAMPLE_TEXT`` bytes isn't drawn."""
-    short = docs.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= SAMPLE_TEXT)
-    sizes = short.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
-    share = min(1.0, SAMPLE_ROWS / max(sizes[0], 1), SAMPLE_BYTES / max(sizes[1] or 0, 1))
-    sample = short.where(F.expr("pmod(xxhash64(doc_id, text, 29), 1000003)") / 1000003 < share).limit(2 * SAMPLE_ROWS)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    found = sample.mapInArrow(_tokens(path, end, width, None), f"doc_id {kind}, code long, n long, ids binary").select("ids").toArrow()
-    rows = sorted(found["ids"].to_pylist())
-    ids = np.frombuffer(b"".join(rows), width).astype(np.int32)
-    bounds = np.append(0, np.cumsum([len(r) // width.itemsize for r in rows])).astype(np.int64)
-    return Router.of(ids, bounds, tokens)
+def _router(landed: DataFrame, width: np.dtype, df: np.ndarray, rows: int) -> Router:
+    """The principal axes of all documents' unit vectors, and the medians of all documents along them.
+
+    A task keeps one matrix of moments, so there are as many tasks as cores; the
+    driver gets one sum of the matrices and the counts of places.
+    """
+    spark = landed.sparkSession
+    router = Router.flat(np.log((1 + rows) / (1 + df)))
+    few = landed.select("ids").coalesce(max(spark.sparkContext.defaultParallelism, 1))
+    shape = "number long, sums binary"
+    sums = few.mapInArrow(_moments(width, spark.sparkContext.broadcast(router)), shape).groupBy("number").applyInArrow(_added, shape).toArrow()
+    total = np.zeros((COLUMNS, COLUMNS + 1))
+    for number, row in zip(sums["number"].to_pylist(), sums["sums"].to_pylist()):
+        total[number] = np.frombuffer(row)
+    if rows > 1:
+        _, axes = np.linalg.eigh(total[:, :-1] - np.outer(total[:, -1], total[:, -1]) / rows)
+        router = replace(router, axes=np.ascontiguousarray(axes[:, ::-1][:, :AXES]))
+    counts = landed.select("ids").mapInArrow(_at_places(width, spark.sparkContext.broadcast(router)), "axis long, place long, n long")
+    found = counts.groupBy("axis", "place").agg(F.sum("n").alias("n")).toArrow()
+    axis, place, n = (found[c].to_numpy() for c in ("axis", "place", "n"))
+    medians = np.zeros(AXES, np.int64)
+    for k in range(AXES if rows else 0):
+        own = np.flatnonzero(axis == k)
+        own = own[np.argsort(place[own])]
+        medians[k] = place[own[np.searchsorted(np.cumsum(n[own]), (rows + 1) // 2)]]
+    return replace(router, medians=medians)
 
 
 def pack(docs: DataFrame, tokenizer: str, end: int = 2, size: int = 4096, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
@@ -320,8 +394,8 @@ def pack(docs: DataFrame, tokenizer: str, end: int = 2, size: int = 4096, shard_
     row is a document of its own, also one that repeats a doc_id or has none. An
     empty table gives an empty one; other columns are ignored.
 
-    Only the axes of the content code are learned from a bounded sample (see
-    ``SAMPLE_ROWS``); every row is counted, coded and indexed. Rows of one code are
+    Axes, medians, document frequencies and mean length are those of all rows, and
+    every row is coded and indexed. Rows of one code are
     ordered by doc_id and place, so a hot code is split over ranges and shards like
     any other. A shard has about ``shard_tokens`` tokens, a longer document one of its own.
     """
@@ -334,16 +408,17 @@ def pack(docs: DataFrame, tokenizer: str, end: int = 2, size: int = 4096, shard_
     docs = docs.select("doc_id", "text")
     kind = "string" if docs.schema["doc_id"].dataType.simpleString() == "string" else "long"
     docs = docs.withColumn("doc_id", F.col("doc_id").cast(kind))
-    router = spark.sparkContext.broadcast(_router(docs, tokenizer, end, width, tokens))
-    coded = docs.mapInArrow(_tokens(tokenizer, end, width, router), f"doc_id {kind}, code long, n long, ids binary")
-    coded = phases.land(coded.withColumn("place", F.monotonically_increasing_id()), "coded")
-    sums = coded.select("ids").mapInArrow(_frequencies(tokens, width), "number long, n long").groupBy("number").agg(F.sum("n").alias("n")).toArrow()
+    landed = docs.mapInArrow(_tokens(tokenizer, end, width), f"doc_id {kind}, ids binary")
+    landed = phases.land(landed.withColumn("place", F.monotonically_increasing_id()), "tokens")
+    sums = landed.select("ids").mapInArrow(_frequencies(tokens, width), "number long, n long").groupBy("number").agg(F.sum("n").alias("n")).toArrow()
     number, n = sums["number"].to_numpy(), sums["n"].to_numpy()
     total, rows = int(n[number == -1].sum()), int(n[number == -2].sum())
     df = np.zeros(tokens)
     df[number[number >= 0]] = n[number >= 0]
     corpus = spark.sparkContext.broadcast(Corpus(np.log1p((rows - df + 0.5) / (df + 0.5)), total / max(rows, 1)))
     tasks = max(-(-total // TASK_TOKENS), min(spark.sparkContext.defaultParallelism, -(-total // shard_tokens)), 1)
+    router = spark.sparkContext.broadcast(_router(landed, width, df, rows))
+    coded = landed.mapInArrow(_coded(width, router), f"doc_id {kind}, code long, place long, ids binary")
     near = coded.repartitionByRange(tasks, "code", "doc_id", "place").sortWithinPartitions("code", "doc_id", "place")
     return near.select("doc_id", "ids").mapInArrow(
         _pack(width, size, shard_tokens, pa.string() if kind == "string" else pa.int64(), corpus),

@@ -74,3 +74,34 @@ def test_copies_of_one_text_are_split(spark):
     ids = packing.pack(spark.createDataFrame(rows[:1], "doc_id long, text string"), TOKENIZER).collect()
     assert total == 300 * ids[0].doc_tokens + 2
     assert len({r.sequence_id >> 32 for r in found}) > 1
+
+
+def test_axes_and_medians_come_from_every_row(spark):
+    """Along each axis the median of all rows parts them in halves, and the axes are those of all rows' moments."""
+    rng = random.Random(3)
+    # more rows than fit a sample of 2,000, the last of them of words that no other has
+    rows = [(i, " ".join(rng.choice(["house", "tree", "river", "cloud", "stone"][i % 3 :]) + str(rng.randrange(9)) for _ in range(8))) for i in range(2600)]
+    rows += [(i, " ".join(rng.choice(["zebra", "quartz", "violin"]) for _ in range(8))) for i in range(2600, 2700)]
+    width = np.dtype("<u2")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    landed = docs.mapInArrow(packing._tokens(TOKENIZER, 2, width), "doc_id long, ids binary").cache()
+    ids = [np.frombuffer(r.ids, width).astype(np.int32) for r in landed.collect()]
+    bounds = np.append(0, np.cumsum([len(i) for i in ids]))
+    df = np.zeros(49408)
+    for i in ids:
+        df[np.unique(i)] += 1
+    router = packing._router(landed, width, df, len(ids))
+    x = np.rint(np.concatenate(list(router.vectors(np.concatenate(ids), bounds, 100))) * packing.STEPS)
+    spread = np.linalg.eigvalsh(x.T @ x - np.outer(x.sum(0), x.sum(0)) / len(x))[::-1][: packing.AXES]
+    centred = (x - x.mean(0)) @ router.axes
+    assert np.allclose((centred**2).sum(0), spread, rtol=1e-6, atol=spread[0] * 1e-9)
+    places = router.places(np.concatenate(ids), bounds)
+    assert ((places > router.medians).sum(0) <= len(ids) / 2).all() and ((places >= router.medians).sum(0) >= len(ids) / 2).all()
+
+
+def test_words_tokenized_together_equal_words_alone():
+    tokens = packing.WordTokens(TOKENIZER)
+    words = ["it's", "Straße", "été", "́x", "a b", "x" * 300, "\U0001f600\U0001f601", "<|endoftext|>", "a<|endoftext|>b", " ", "12,345.6", "ΑΣ", "'ll", "\x00", "日本語"] * 50
+    ids, size = tokens.encoded(words)
+    alone = [e.ids for e in tokens.tokenizer.encode_batch(words, add_special_tokens=False)]
+    assert size.tolist() == [len(i) for i in alone] and ids.tolist() == [t for i in alone for t in i]
