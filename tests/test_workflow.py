@@ -192,3 +192,32 @@ def test_published_settings_on_the_observations(spark, small, kind, setting):
     report = registry._report("x", trained.predictions).first()
     assert report.tp + report.fp + report.tn + report.fn == trained.predictions.count() > 500
     assert 0.3 < report.accuracy < 0.7 and 0.3 < report.auc_roc < 0.7
+
+
+def test_learners_get_rows_in_many_parts(spark, monkeypatch):
+    """However few the input's parts are, no task learns from much more than its share, and folds are prepared once each."""
+    monkeypatch.setattr(learners, "TASK_ROWS", 100)
+    rows = spark.range(1, 1001, numPartitions=1).selectExpr("id", "id % 7 AS a", "id % 7 > 3 AS big", "id % 5 AS fold")
+    rows = rows.selectExpr("id", "double(a) AS a", "if(big, 'y', 'n') AS target", "int(fold) AS fold")
+    seen, fits = [], []
+
+    class Learner(learners.DecisionTreeClassifier):
+        def _fit(self, df):
+            seen.append(max(r["n"] for r in df.groupBy(F.spark_partition_id().alias("part")).agg(F.count("*").alias("n")).collect()))
+            return super()._fit(df)
+
+    class Assembler(encode.VectorAssembler):
+        def transform(self, df, params=None):
+            fits.append(1)
+            return super().transform(df, params)
+
+    stages = [Assembler(inputCols=["a"], outputCol="features"), encode.label_indexer("target", "frequencyDesc")]
+    learner = Learner(maxDepth=3, seed=1)
+    grid = learners.parameter_grid(learner, {"maxDepth": [1, 2], "maxBins": [8, 16]})
+    model = learners.cross_validate(rows, Pipeline(stages=[*stages, learner]), grid, folds=5, fold_column="fold")
+    assert model.avgMetrics == [1.0] * 4 and model.stdMetrics == [0.0] * 4 and len(model.getEstimatorParamMaps()) == 4
+    assert len(seen) == 21 and max(seen) <= 101
+    # one for the training side, one for the stages behind it, one for the held-out side; the last fit has no held-out side
+    assert len(fits) <= 3 * 5 + 2
+    with pytest.raises(ValueError):
+        learners.cross_validate(rows.where("fold < 4"), Pipeline(stages=[*stages, learner]), grid, folds=5, fold_column="fold")
