@@ -2,7 +2,7 @@
 
 Imputation values and codes are fitted once for each fold, on its training side,
 and the vectors of both sides are written once. All grid points learn from those
-tables, several at a time, and write their scores; the areas of every model then
+tables, several folds at a time, and write their scores; the areas of every model then
 come from one set of curves, and every threshold of a model is read from its
 running counts. A threshold of the grid costs no fit.
 """
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators import curves
 from ..operators.split import with_fold
 from ..session import landed, shared_dir
-from .learners import scored
+from .learners import evenly, scored
 from .presets import FeatureSet
 from .workflow import clean, preparation
 
@@ -82,12 +82,13 @@ def _scores(tables: list[DataFrame], learner: Estimator, fitted: list[dict], par
     spark = tables[0].sparkSession
     path = shared_dir(spark, "search-scores")
 
-    def run(fold: int, number: int) -> None:
-        model = _fit(learner, fitted[number], tables[fold].where("not _held"))
-        pairs = scored(model.transform(tables[fold].where("_held")))
-        pairs.write.parquet(f"{path}/fold={fold}/point={number}")
+    def run(fold: int) -> None:
+        with evenly(learner, tables[fold].where("not _held")) as train:
+            for number, point in enumerate(fitted):
+                pairs = scored(_fit(learner, point, train).transform(tables[fold].where("_held")))
+                pairs.write.parquet(f"{path}/fold={fold}/point={number}")
 
-    _all(spark, parallelism, run, [(f, p) for f in range(len(tables)) for p in range(len(fitted))])
+    _all(spark, parallelism, run, [(f,) for f in range(len(tables))])
     schema = "score double, prediction double, label double, fold int, point int"
     return spark.read.schema(schema).option("basePath", path).parquet(path)
 
@@ -163,7 +164,8 @@ def search(
     rows = rows.drop("_fold")
     prepared = prepare(features).fit(rows)
     whole = landed(prepared.transform(rows).select("label", "features"), "search-vectors")
-    model = PipelineModel([*prepared.stages, _fit(learner, best, whole)])
+    with evenly(learner, whole) as ready:
+        model = PipelineModel([*prepared.stages, _fit(learner, best, ready)])
     return Searched(
         spark.createDataFrame(results, "rank int, params string, avg_metric double, std_metric double"),
         spark.createDataFrame(each, "params string, fold int, metric double"),

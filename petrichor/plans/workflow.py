@@ -26,7 +26,7 @@ from ..operators.split import side_of
 from ..functions.columns import month_of
 from ..session import landed
 from ..sources.sinks import save_model
-from .learners import scored
+from .learners import fit_prepared, scored
 from .presets import FeatureSet
 
 
@@ -144,7 +144,7 @@ def train(
     keyed = keyed_sides(df, features, weights, seed)
     audits = audits_of_sides(keyed, features)
     sides = rows_of_sides(keyed, features, len(weights))
-    model = pipeline(features, learner).fit(sides[0])
+    model = fit_prepared(preparation_stages(features, labelled=True), learner, sides[0])
     if model_path:
         save_model(model, model_path)
     each = tuple(audits.filter(F.col("_side") == i).drop("_side") for i in range(len(weights)))
