@@ -156,6 +156,15 @@ class Router:
         return (self.places(ids, bounds) > self.medians) @ (1 << np.arange(AXES)[::-1])
 
 
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different values, sorted, and how often each is there; sorting alone takes a fraction of np.unique's hashing."""
+    values = np.sort(values)
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    begin = np.flatnonzero(new)
+    return values[begin], np.diff(np.append(begin, len(values)))
+
+
 class Shard:
     """An inverted index of a shard's documents: postings by token, each with its BM25 weight.
 
@@ -167,7 +176,7 @@ class Shard:
         self.used = np.zeros(n, bool)
         length = np.diff(bounds)
         doc = np.repeat(np.arange(n), length)
-        key, times = np.unique(ids.astype(np.int64) * n + doc, return_counts=True)
+        key, times = distinct(ids.astype(np.int64) * n + doc)
         self.term, self.doc = key // n, key % n
         df = np.bincount(self.term)
         idf = np.log1p((n - df + 0.5) / (df + 0.5)) if corpus is None else corpus.idf
@@ -177,7 +186,7 @@ class Shard:
 
     def neighbours(self, query: np.ndarray) -> np.ndarray:
         """Unused documents by falling score for the query's distinct tokens; ties in order."""
-        terms = np.unique(query)
+        terms, _ = distinct(query)
         terms = terms[terms < len(self.begin) - 1]
         size = self.begin[terms + 1] - self.begin[terms]
         at = np.repeat(self.begin[terms] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
@@ -317,8 +326,8 @@ def _frequencies(tokens: int, width: np.dtype):
         for batch in batches:
             for lo, hi, data, offsets in chunks(batch["ids"]):
                 ids = data.view(width).astype(np.int64)
-                doc = np.repeat(np.arange(hi - lo), np.diff(offsets) // width.itemsize)
-                df += np.bincount(np.unique(doc * tokens + ids) % tokens, minlength=tokens)
+                doc = np.repeat(np.arange(hi - lo) * tokens, np.diff(offsets) // width.itemsize)
+                df += np.bincount(distinct(doc + ids)[0] % tokens, minlength=tokens)
                 rows, total = rows + hi - lo, total + len(ids)
         seen = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(seen, [-1, -2])), pa.array(np.append(df[seen], [total, rows]))], ["number", "n"])
