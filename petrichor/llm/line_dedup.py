@@ -1,15 +1,18 @@
 """Line dedup by a segment-partition edit join, in built-in functions only.
 
-Distinct lines of at least ``min_chars`` characters are cut into
-``distance + 1`` even segments. Two lines within ``distance`` edits share one
-segment unchanged, at a place that the difference of their lengths narrows down
-to a few substrings: each line is indexed by (its length, segment number,
-segment) and probes the lengths up to ``distance`` below its own with its own
-substrings at those places. Lines that meet are verified by the banded
-bit-parallel edit distance, unless their letter counts already rule them out.
+Distinct lines of at least ``min_chars`` characters have ``distance + 1``
+segments whose size follows from the line's class of lengths: the first half is
+placed from the start of the line, the others from its end. Two lines within
+``distance`` edits share one segment unchanged, moved by as many places as
+segments lie between it and that end at most, so a line is indexed by its
+segments (class, number, segment) and probes with its own substrings at those
+places, and with those of the class below if a line up to ``distance`` shorter
+may lie there. Keys are counted first, and only those that several lines have
+are joined. Lines that meet are verified by the banded bit-parallel edit
+distance, unless their letter counts already rule them out.
 
 All that is asked of a line is whether a similar one stands earlier. Under a
-segment that more than ``CROWD`` lines have, each line is compared with the
+segment that more than ``CROWD`` rows have, each line is compared with the
 earliest of them; those that this doesn't settle are compared with the others in
 arrays of ``TILE`` lines, each giving one answer. So rows grow with the lines and
 not with their pairs, and no pair is left out.
@@ -23,45 +26,34 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .phases import Phases, computed_once
 
-#: Lines under a segment above which they aren't paired one by one, and lines of an array.
+#: Rows under a segment above which they aren't paired one by one, and lines of an array.
 CROWD, TILE = 16, 64
 
 
-def segment(length: Column, i: Column, distance: int) -> tuple[Column, Column]:
-    """(first place from 1, size) of segment ``i`` of a line; the last segments take the remainder."""
-    parts = distance + 1
-    size, longer = F.floor(length / parts).cast("int"), i - (parts - length % parts)
-    return i * size + F.greatest(longer, F.lit(0)) + 1, size + (longer >= 0).cast("int")
+def least_length(n: Column, distance: int) -> Column:
+    """The least length of the class of ``n``; ``distance`` less lies in the same class or in the next one below."""
+    step = max(4, distance)
+    lower = F.when(n < 8 * step, n - n % step).otherwise(n - n % (2 * step))
+    return F.greatest(lower, F.lit(distance + 1))
 
 
-def _key(line: Column, length: Column, i: Column, start: Column, size: Column) -> Column:
-    return F.xxhash64(length, i, F.substring(line, start, size))
+def keyed(lines: DataFrame, distance: int, *keep: str) -> DataFrame:
+    """``key``, ``own`` and ``keep`` of ``lines`` (line, n, ...): ``own`` marks the line's segments, other rows only probe.
 
-
-def index_rows(lines: DataFrame, distance: int, *keep: str) -> DataFrame:
-    """``keep`` and ``key`` of ``lines`` (line, n, ...), a row for each segment."""
-    rows = lines.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(distance))))
-    return rows.select(_key(F.col("line"), F.col("n"), F.col("i"), *segment(F.col("n"), F.col("i"), distance)).alias("key"), *keep)
-
-
-def probe_rows(lines: DataFrame, distance: int, *keep: str) -> DataFrame:
-    """``keep`` and ``key`` of ``lines``, a row for each substring that can hold a segment of an indexed line no longer than this one.
-
-    One short expression over (difference of lengths, segment, shift), not one for each: Spark compiles it whole.
+    Lines within ``distance`` edits have a key in common that one of them owns. One
+    short expression over (class below, segment, shift), not one for each: Spark compiles it whole.
     """
-    wanted = [
-        (less, i, shift)
-        for less in range(distance + 1)
-        for i in range(distance + 1)
-        for shift in range(max(-i, less - (distance - i)), min(i, less + (distance - i)) + 1)
-    ]
-    places = F.array(*[F.struct(*[F.lit(v).alias(name) for v, name in zip(w, ("less", "i", "shift"))]) for w in wanted])
-    rows = lines.select("*", F.inline(places))
-    length = F.col("n") - F.col("less")
-    start, size = segment(length, F.col("i"), distance)
-    start = start + F.col("shift")
-    inside = (start >= 1) & (start + size - 1 <= F.col("n"))
-    return rows.where(inside).select(_key(F.col("line"), length, F.col("i"), start, size).alias("key"), *keep)
+    room = [min(i, distance - i) for i in range(distance + 1)]
+    wanted = [(below, i, shift) for below in (False, True) for i, r in enumerate(room) for shift in range(-r, r + 1)]
+    place = lambda w: F.struct(*[F.lit(v).alias(name) for v, name in zip(w, ("below", "i", "shift"))])
+    near, all_ = (F.array(*[place(w) for w in wanted if not w[0] or both]) for both in (False, True))
+    at, under = least_length(F.col("n"), distance), least_length(F.col("n") - distance, distance)
+    rows = lines.select("*", at.alias("at"), under.alias("under")).select("*", F.inline(F.when(F.col("at") == F.col("under"), near).otherwise(all_)))
+    least = F.when(F.col("below"), F.col("under")).otherwise(F.col("at"))
+    size = F.floor(least / (distance + 1)).cast("int")
+    first = F.when(F.col("i") <= distance // 2, F.col("i") * size).otherwise(F.col("n") - (distance + 1 - F.col("i")) * size)
+    key = F.xxhash64(least, "i", F.substring(F.col("line"), first + F.col("shift") + 1, size))
+    return rows.select(key.alias("key"), (~F.col("below") & (F.col("shift") == 0)).alias("own"), *keep)
 
 
 #: Bits of the word that holds a column of differences; the band uses the highest 2 * distance + 1.
@@ -126,25 +118,30 @@ def _change(h: Column, j: Column, n: Column, distance: int) -> Column:
     return F.when(j < n - distance, edge).otherwise((bit(h["hp"]) - bit(h["hn"])).cast("int"))
 
 
-#: Letters whose counts, modulo 32, make up a line's signature.
-LETTERS = "etaoinrshdlu"
+#: Characters whose counts, modulo 32, make up a line's signature, and those of a second one.
+LETTERS, OTHERS = "etaoinrshdlu", "cmfgpybwvk.,"
 
 
-def signature(line: Column) -> Column:
-    counts = [F.length(line) - F.length(F.replace(line, F.lit(c), F.lit(""))) for c in LETTERS]
+def signature(line: Column, letters: str = LETTERS) -> Column:
+    counts = [F.length(line) - F.length(F.replace(line, F.lit(c), F.lit(""))) for c in letters]
     out = F.lit(0).cast("long")
     for k, n in enumerate(counts):
         out = out.bitwiseOR(F.shiftleft(n.cast("long").bitwiseAND(F.lit(31).cast("long")), 5 * k))
     return out
 
 
-def may_be_close(a: Column, b: Column, distance: int) -> Column:
-    """False only for signatures of lines more than ``distance`` edits apart: an edit moves letter counts by two at most."""
-    moved = F.lit(0)
+def moved(a: Column, b: Column) -> Column:
+    """How far letter counts of two signatures are apart in sum, at least."""
+    out = F.lit(0)
     for k in range(len(LETTERS)):
         apart = (F.shiftright(a, 5 * k) - F.shiftright(b, 5 * k)).bitwiseAND(F.lit(31).cast("long"))
-        moved = moved + F.least(apart, F.lit(32).cast("long") - apart)
-    return moved <= 2 * distance
+        out = out + F.least(apart, F.lit(32).cast("long") - apart)
+    return out
+
+
+def may_be_close(a: Column, b: Column, distance: int) -> Column:
+    """False only for signatures of lines more than ``distance`` edits apart: an edit moves letter counts by two at most."""
+    return moved(a, b) <= 2 * distance
 
 
 def _identified(docs: DataFrame) -> DataFrame:
@@ -172,6 +169,9 @@ def _verified(pairs: DataFrame, lines: DataFrame, distance: int, phases: Phases,
     )
     marked = computed_once(texts.withColumns({"s": signature(F.col("x.line")), "t": signature(F.col("y.line"))}), "s")
     marked = marked.where(may_be_close(F.col("s"), F.col("t"), distance) & (F.col("x.first") != F.col("y.first")))
+    # the second signature is made for those that pass the first, and both count together
+    marked = computed_once(marked.withColumns({"s2": signature(F.col("x.line"), OTHERS), "t2": signature(F.col("y.line"), OTHERS)}), "s2")
+    marked = marked.where(moved(F.col("s"), F.col("t")) + moved(F.col("s2"), F.col("t2")) <= 2 * distance)
     later = F.when(F.col("x.first") > F.col("y.first"), F.col("a")).otherwise(F.col("b"))
     chars = computed_once(marked.select(later.alias("h"), F.split("x.line", "").alias("x"), F.split("y.line", "").alias("y")), "x")
     close = chars.where(F.abs(F.size("x") - F.size("y")) <= distance)
@@ -179,52 +179,61 @@ def _verified(pairs: DataFrame, lines: DataFrame, distance: int, phases: Phases,
     return phases.land(close.select("h").distinct(), name)
 
 
-def _pairs(met: DataFrame) -> DataFrame:
-    return met.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _pairs(met: DataFrame, distance: int) -> DataFrame:
+    """Of rows (a, na, b, nb) the pairs of different lines whose lengths allow for ``distance`` edits."""
+    met = met.where((F.col("a") != F.col("b")) & (F.abs(F.col("na") - F.col("nb")) <= distance))
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def similar_earlier(lines: DataFrame, distance: int, phases: Phases) -> DataFrame:
     """(h): the ``lines`` (h, line, n, first) with an earlier one within ``distance`` edits; first says where a line stands first."""
-    index = index_rows(lines.withColumnRenamed("h", "a"), distance, "a")
-    probe = probe_rows(lines.withColumnRenamed("h", "b"), distance, "b")
-    known = index_rows(lines, distance, "h", "first")
-    hot = known.groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("first", "h")).alias("least")).where(F.col("k") > CROWD)
-    hot = phases.land(hot.select("key", F.col("least.h").alias("a")), "hot-keys")
-    few = index.join(hot.select("key"), "key", "left_anti").join(probe, "key")
-    met = phases.land(_pairs(few), "candidates")
+    counts = keyed(lines, distance).groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.count_if("own").alias("owners"))
+    shared = phases.land(counts.where("k > 1 and owners > 0").select("key", "k"), "shared-keys")
+    phases.release()
+    met = phases.land(keyed(lines, distance, "h", "n").join(shared, "key"), "met")
+    phases.drop(shared)
+    few, hot = met.where(F.col("k") <= CROWD), met.where(F.col("k") > CROWD)
+    named = lambda rows, h, n: rows.select("key", F.col("h").alias(h), F.col("n").alias(n))
+    pairs = _pairs(named(few.where("own"), "a", "na").join(named(few, "b", "nb"), "key"), distance)
+    crowded = not hot.isEmpty()
+    if crowded:
+        firsts = hot.select("key", "h", "n").join(lines.select("h", "first"), "h")
+        least = firsts.groupBy("key").agg(F.min(F.struct("first", "h", "n")).alias("least"))
+        least = phases.land(least.select("key", F.col("least.h").alias("a"), F.col("least.n").alias("na")), "hot-keys")
+        pairs = pairs.union(_pairs(named(hot, "b", "nb").join(least, "key"), distance))
+    pairs = phases.land(pairs.distinct(), "candidates")
     phases.release()
-    found = _verified(met, lines, distance, phases, "similar")
-    phases.drop(met)
-    if hot.isEmpty():
+    found = _verified(pairs, lines, distance, phases, "similar")
+    phases.drop(pairs)
+    if not crowded:
+        phases.drop(met)
         return found
-    # a line probes with its own segments too, so the probes of a key are all its lines
-    members = phases.land(probe.join(hot, "key").select("b", "a"), "members")
-    star = phases.land(_pairs(members), "stars")
-    found = phases.land(found.union(_verified(star, lines, distance, phases, "star-similar")).distinct(), "settled")
-    crowd = lines.join(members.select(F.col("b").alias("h")).distinct(), "h", "left_semi").withColumn("s", signature(F.col("line")))
-    crowd = phases.land(crowd, "crowd")
-    phases.drop(star, members)
+    # what the earliest line of a key doesn't settle is compared with all others; nothing under the key stands before itself
+    open_ = hot.join(found, "h", "left_anti").join(least.withColumnRenamed("a", "h"), ["key", "h"], "left_anti")
+    open_ = phases.land(open_.select("key", "h", "own").distinct(), "open")
+    crowd = phases.land(hot.join(open_.select("key").distinct(), "key", "left_semi").select("key", "h", "own").distinct(), "crowd")
+    texts = lines.join(crowd.select("h").distinct(), "h", "left_semi").select("h", "line", "n", "first", signature(F.col("line")).alias("s"))
+    texts = phases.land(texts, "crowd-lines")
+    phases.drop(met, least)
     rest = [found]
-    for one, other in ((probe_rows, index_rows), (index_rows, probe_rows)):
-        # those not settled yet, against all lines of the other role under their key
-        open_ = crowd.join(found, "h", "left_anti")
-        asked = one(open_, distance, "h", "line", "s", "first").join(hot.select("key"), "key")
-        held = other(crowd, distance, "h", "line", "s", "first").join(hot.select("key"), "key")
-        sizes = held.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
+    for asks, holds in (("true", "own"), ("own", "not own")):
+        # those not settled yet, against the lines that own their key, then those that own it against the others
+        asked, held = open_.where(asks).select("key", "h").distinct().join(texts, "h"), crowd.where(holds).join(texts, "h")
+        sizes = crowd.where(holds).groupBy("key").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
         sizes = phases.land(sizes, "tiles")
         held = held.join(sizes, "key").withColumn("tile", F.pmod(F.xxhash64("h", F.lit(5)), F.col("tiles")).cast("int"))
-        held = held.groupBy("key", "tile").agg(F.collect_list(F.struct("h", "line", "s", "first")).alias("held"))
+        held = held.groupBy("key", "tile").agg(F.collect_list(F.struct("h", "line", "n", "s", "first")).alias("held"))
         asked = asked.join(sizes, "key").withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
         asked = asked.withColumn("chars", F.split("line", ""))
-        both = computed_once(asked.join(held, ["key", "tile"]).select("h", "s", "first", "chars", "held"), "chars")
+        both = computed_once(asked.join(held, ["key", "tile"]).select("h", "n", "s", "first", "chars", "held"), "chars")
         rest.append(phases.land(both.where(F.exists("held", lambda x: _like(x, distance))).select("h").distinct(), "tile-similar"))
     return reduce(DataFrame.union, rest).distinct()
 
 
 def _like(x: Column, distance: int) -> Column:
     """Whether line ``x`` of an array stands before the row's line and is similar; what costs little comes first."""
-    sized = F.abs(F.length(x["line"]) - F.size("chars")) <= distance
-    cheap = (x["first"] < F.col("first")) & (x["h"] != F.col("h")) & may_be_close(x["s"], F.col("s"), distance) & sized
+    sized = F.abs(x["n"] - F.col("n")) <= distance
+    cheap = sized & (x["h"] != F.col("h")) & (x["first"] < F.col("first")) & may_be_close(x["s"], F.col("s"), distance)
     return F.when(cheap, edit_distance(F.col("chars"), F.split(x["line"], ""), distance) <= distance).otherwise(False)
 
 
@@ -235,7 +244,7 @@ def scaled_earlier(lines: DataFrame, distance: int, min_chars: int, phases: Phas
     for edits in range(distance - 1, 0, -1):
         low, high = -(-min_chars * edits // distance), -(-min_chars * (edits + 1) // distance) - 1
         # the shorter line of a pair decides, so the longer one may have the length of the next class
-        found.append(similar_earlier(lines.where(n.between(low, high + edits)), edits, phases))
+        found.append(similar_earlier(phases.land(lines.where(n.between(low, high + edits)), "shorter"), edits, phases))
     return found
 
 
@@ -258,33 +267,35 @@ def without_similar_lines(docs: DataFrame, distance: int = 2, min_chars: int = 2
         raise ValueError("min_chars must be more than distance times two")
     phases = Phases(docs.sparkSession, "lines")
     found = _exploded(docs, min_chars, short_lines)
-    first = found.where("h is not null").groupBy("h", "g").agg(F.min(F.struct("doc_id", "place", "line")).alias("first"))
+    first = found.where("h is not null").groupBy("h", "g").agg(F.min(F.struct("doc_id", "place", "line")).alias("first"), F.count(F.lit(1)).alias("times"))
     line = F.col("first.line")
-    distinct = first.select("h", "g", F.struct("first.doc_id", "first.place").alias("first"), line.alias("line"), F.length(line).alias("n"))
+    distinct = first.select("h", "g", "times", F.struct("first.doc_id", "first.place").alias("first"), line.alias("line"), F.length(line).alias("n"))
     distinct = phases.land(distinct, "distinct")
     phases.release()
-    lines = distinct.drop("g")
+    lines = distinct.drop("g", "times")
     if short_lines:
         similar = reduce(DataFrame.union, scaled_earlier(lines, distance, min_chars, phases)).distinct()
     else:
         similar = similar_earlier(lines, distance, phases)
-    earliest = distinct.select("h", "g", "first").join(similar.withColumn("similar", F.lit(True)), "h", "left")
+    # a line that stands once goes only if a similar one stands earlier
+    earliest = distinct.select("h", "g", "first", "times").join(similar.withColumn("similar", F.lit(True)), "h", "left").where("times > 1 or similar")
     earliest = phases.land(earliest.select("h", "g", F.col("first").alias("seen"), F.coalesce("similar", F.lit(False)).alias("similar")), "earliest")
     phases.drop(distinct)
-    flags = found.drop("line").join(earliest, ["h", "g"], "left")
-    gone = F.coalesce(F.col("similar") | (F.col("seen") < F.struct("doc_id", "place")), F.lit(False))
-    flags = flags.select("doc_id", "row", "place", gone.alias("gone")).distinct()
-    flags = flags.groupBy("doc_id", "row").agg(
-        F.sort_array(F.collect_list(F.struct("place", "gone"))).alias("__l_flags"), F.count_if("gone").alias("__l_removed")
-    )
-    flags = phases.land(flags.where("__l_removed > 0"), "flags")
+    flags = found.drop("line").join(earliest, ["h", "g"]).where(F.col("similar") | (F.col("seen") < F.struct("doc_id", "place")))
+    flags = flags.groupBy("doc_id", "row").agg(F.sort_array(F.collect_set("place")).alias("places"))
+    before = lambda k: F.coalesce(F.get("places", k - 1), F.lit(-1))
+    # one mark a line, up to the last that goes
+    marks = F.array_join(F.transform("places", lambda p, k: F.concat(F.repeat(F.lit("0"), p - before(k) - 1), F.lit("1"))), "")
+    marks = F.transform(F.split(marks, ""), lambda x: x == "1")
+    flags = flags.select("doc_id", "row", marks.alias("__l_flags"), F.size("places").cast("long").alias("__l_removed"))
+    flags = phases.land(flags, "flags")
     phases.drop(earliest)
     flags = flags.select(F.col("doc_id").alias("__l_id"), F.col("row").alias("__l_row"), "__l_flags", F.col("__l_removed").alias("__l_out")).hint("merge")
     out = docs.withColumn("__l_row_", F.xxhash64("text")).join(
         flags, (F.col("doc_id").cast("long") == F.col("__l_id")) & (F.col("__l_row_") == F.col("__l_row")), "left"
     )
     lines, marks = F.split("text", "\n", -1), F.col("__l_flags")
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.get(marks, i)["gone"]), "\n")
+    kept = F.array_join(F.filter(lines, lambda x, i: ~F.coalesce(F.get(marks, i), F.lit(False))), "\n")
     out = out.withColumn("__l_text", F.when(marks.isNull(), F.col("text")).otherwise(kept))
     names = [F.col("__l_text").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns]
     counts = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long")
