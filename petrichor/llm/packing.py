@@ -17,6 +17,7 @@ leaves at its end is cut into powers of two, so nothing is padded.
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
@@ -28,14 +29,23 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from .phases import Phases
-from .words import Words, chunks, mix, text_array
+from .words import SEPARATOR, chunks, hashes, mix, text_array, text_buffer
 
 #: BM25's usual saturation and length weight.
 K1, B = 1.2, 0.75
-#: Distinct words that a worker remembers the token ids of before it starts anew.
+#: Distinct parts of words that a worker remembers the token ids of before it starts anew, also if they have four times as many ids.
 REMEMBERED = 1 << 20
 #: Words that are tokenized as one text.
 JOINED = 512
+#: The normalizer, and the splits after it, of tokenizers whose words fall into parts by kinds of characters.
+NORMAL = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PARTS = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 #: Axes of the content code, and columns that tokens are hashed into to find them.
 AXES, COLUMNS = 24, 1024
 #: Steps of a unit in moments and along the axes: whole numbers, whose sums are exact in any order.
@@ -44,19 +54,102 @@ STEPS = 1 << 11
 SHARD_TOKENS, TASK_TOKENS = 1 << 19, 1 << 23
 
 
+#: Kinds of bytes: white space, ASCII letters, ASCII digits, the rest of ASCII, and all others.
+SPACE, LETTER, DIGIT, MARK, OTHER = range(5)
+KIND = np.full(256, OTHER, np.uint8)
+KIND[0x21:0x7F] = MARK
+KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = LETTER
+KIND[0x30:0x3A] = DIGIT
+KIND[SEPARATOR] = SPACE
+#: Second bytes of the letters U+00C0 to U+00FF, which 0xC3 leads; they are composed and have no other form.
+LATIN = np.zeros(256, bool)
+LATIN[0x80:0xC0] = True
+LATIN[[0x97, 0xB7]] = False
+
+
+@dataclass(frozen=True)
+class Pieces:
+    """Parts of words, without what lies between them: bytes, starts, which are plain, and the first of each row, and the number of all."""
+
+    data: np.ndarray
+    starts: np.ndarray
+    plain: np.ndarray
+    first: np.ndarray
+
+
+def pieces(data: np.ndarray, offsets: np.ndarray, split: bool) -> Pieces:
+    """The words of all rows; with ``split`` parted where ASCII and Latin-1 letters, digits and other ASCII characters meet, and between digits.
+
+    Plain parts have such characters only and are lower-cased. Words with ``'``, which
+    may join letters, or ``<``, which may open a token of its own, are neither
+    split nor plain, and no part ends beside a character of another kind, which
+    the normalizer may compose with its neighbour.
+    """
+    kind = KIND[data]
+    row = np.zeros(len(data), bool)
+    row[offsets[:-1][offsets[:-1] < len(data)]] = True
+    if split:
+        lead = np.flatnonzero(data[:-1] == 0xC3)
+        lead = lead[LATIN[data[lead + 1]] & ~row[lead + 1]]
+        kind[lead] = kind[lead + 1] = LETTER
+    solid = kind != SPACE
+    fresh = row  # bytes that don't go on with the word of the byte before
+    fresh[1:] |= ~solid[:-1]
+    data, kind, fresh = data[solid], kind[solid], fresh[solid]
+    first = np.append(0, np.cumsum(solid, dtype=np.int32))[offsets]  # bytes before each row
+    words = np.flatnonzero(fresh)
+    if split and len(words):
+        cut = kind[1:] != kind[:-1]
+        cut |= kind[1:] == DIGIT
+        odd = kind == OTHER
+        marks = np.flatnonzero((data == 0x27) | (data == 0x3C))
+        if len(marks):
+            whole = np.zeros(len(words), bool)
+            whole[np.searchsorted(words, marks, "right") - 1] = True
+            odd |= np.repeat(whole, np.diff(np.append(words, len(data))))
+        some = odd.any()
+        if some:
+            cut &= ~(odd[1:] | odd[:-1])
+        fresh[1:] |= cut
+        starts = np.flatnonzero(fresh)
+        plain = ~np.logical_or.reduceat(odd, starts) if some else np.ones(len(starts), bool)
+        low = (data >= 0x41) & (data <= 0x5A)
+        second = np.flatnonzero(data[:-1] == 0xC3) + 1
+        low[second[(data[second] <= 0x9E) & (kind[second] == LETTER) & (kind[second - 1] == LETTER)]] = True
+        if some:
+            low &= np.repeat(plain, np.diff(np.append(starts, len(data))))
+        data = data + (low.view(np.uint8) << 5)
+    else:
+        starts, plain = words, np.zeros(len(words), bool)
+    return Pieces(data, starts, plain, np.searchsorted(starts, first))
+
+
 class WordTokens:
-    """Token ids of words, remembered by the words' hashes for the life of a Python worker.
+    """Token ids of words, remembered by their parts' hashes for the life of a Python worker.
 
-    Only right for tokenizers that split at white space first and drop it.
+    Only right for tokenizers that split at white space first and drop it. If the
+    tokenizer then parts letters, digits and other characters as ``PARTS`` says,
+    so do the words here, and parts of ``pieces``' plain bytes reach its merges
+    without the normalizer's and the pattern's work, lower-cased before.
     """
 
     _of: dict[str, WordTokens] = {}
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        steps = json.loads(self.tokenizer.to_str())
+        model, added = steps["model"], [t["content"] for t in steps["added_tokens"]]
+        last = model.get("end_of_word_suffix")
+        self.plain = None
+        if (steps["normalizer"], steps["pre_tokenizer"]) == (NORMAL, PARTS) and model["type"] == "BPE" and last and not model["dropout"] and all("<" in t for t in added):
+            self.plain = Tokenizer.from_file(path)
+            self.plain.normalizer = normalizers.Sequence([])
+            self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)
+            self.last[[i for t, i in model["vocab"].items() if t.endswith(last)]] = True
         self.clear()
 
     @classmethod
@@ -66,50 +159,86 @@ class WordTokens:
         return cls._of[path]
 
     def clear(self) -> None:
-        self.keys, self.begin, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.keys, self.begin, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.int32)
 
     def encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of the words one after the other, and how many each has; a token belongs to the word it starts in."""
-        parts = [texts[i : i + JOINED] for i in range(0, len(texts), JOINED)]
         ids, size = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
-        for part, found in zip(parts, self.tokenizer.encode_batch([" ".join(p) for p in parts], add_special_tokens=False)):
+        for part, found in self._batches(self.tokenizer, texts):
             ends = np.cumsum([len(t) + 1 for t in part])
             start = np.fromiter(chain.from_iterable(found.offsets), np.int64, 2 * len(found))[::2]
             ids.append(np.array(found.ids, np.int32))
             size.append(np.bincount(np.searchsorted(ends, start, "right"), minlength=len(part)))
         return np.concatenate(ids), np.concatenate(size)
 
-    def learn(self, keys: np.ndarray, texts: list[str]) -> None:
-        ids, size = self.encoded(texts)
-        begin = len(self.ids) + np.cumsum(size) - size
-        self.ids = np.concatenate([self.ids, ids])
-        keys, begin, size = np.append(self.keys, keys), np.append(self.begin, begin), np.append(self.size, size)
+    def encoded_plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for plain parts; each ends with the only token that says it is the last one."""
+        ids, size = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for part, found in self._batches(self.plain, texts):
+            own = np.array(found.ids, np.int32)
+            ends = np.flatnonzero(self.last[own]) + 1
+            if len(ends) != len(part) or ends[-1] != len(own):
+                own, n = self.encoded(part)
+            else:
+                n = np.diff(ends, prepend=0)
+            ids.append(own)
+            size.append(n)
+        return np.concatenate(ids), np.concatenate(size)
+
+    @staticmethod
+    def _batches(tokenizer, texts: list[str]) -> Iterator[tuple[list[str], object]]:
+        """Parts of ``texts`` and what the tokenizer makes of each, a few thousand words at a time."""
+        for lo in range(0, len(texts), 16 * JOINED):
+            parts = [texts[i : i + JOINED] for i in range(lo, min(lo + 16 * JOINED, len(texts)), JOINED)]
+            yield from zip(parts, tokenizer.encode_batch([" ".join(p) for p in parts], add_special_tokens=False))
+
+    def learn(self, keys: np.ndarray, texts: list[str], plain: np.ndarray) -> None:
+        """Remember the parts ``texts``, the plain ones first."""
+        order = np.argsort(~plain, kind="stable")
+        n = int(plain.sum())
+        texts = [texts[i] for i in order.tolist()]
+        (a, m), (b, k) = self.encoded_plain(texts[:n]), self.encoded(texts[n:])
+        size = np.append(m, k).astype(np.int32)
+        begin = (len(self.ids) + np.cumsum(size) - size).astype(np.int32)
+        self.ids = np.concatenate([self.ids, a, b])
+        keys, begin, size = np.append(self.keys, keys[order]), np.append(self.begin, begin), np.append(self.size, size)
         order = np.argsort(keys, kind="stable")
         self.keys, self.begin, self.size = keys[order], begin[order], size[order]
 
-    def encode(self, words: Words, end: int) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, data: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of all rows, each followed by ``end``, and the rows' offsets in them."""
-        keys, first, back = np.unique(words.hashes(), return_index=True, return_inverse=True)
-        if len(self.keys) + len(keys) > REMEMBERED:
+        found = pieces(data, offsets, self.plain is not None)
+        seen = pa.Array.from_buffers(pa.large_binary(), len(found.starts), [None, pa.py_buffer(np.append(found.starts, len(found.data))), pa.py_buffer(found.data)]).dictionary_encode()
+        words, back = seen.dictionary, seen.indices.to_numpy()
+        keys = hashes(*text_buffer(words))
+        order = np.argsort(keys)
+        keys = keys[order]
+        if len(self.keys) + len(keys) > REMEMBERED or len(self.ids) > 4 * REMEMBERED:
             self.clear()
         at = np.searchsorted(self.keys, keys)
         new = np.ones(len(keys), bool)
         inside = at < len(self.keys)
         new[inside] = self.keys[at[inside]] != keys[inside]
         if new.any():
-            raw = words.data.tobytes()
-            spans = zip(words.starts[first[new]].tolist(), words.ends[first[new]].tolist())
-            self.learn(keys[new], [raw[s:e].decode("utf-8", "replace") for s, e in spans])
+            plain = np.zeros(len(keys), bool)
+            plain[back] = found.plain
+            texts = words.take(pa.array(order[new])).to_pylist()
+            self.learn(keys[new], [t.decode("utf-8", "replace") for t in texts], plain[order[new]])
             at = np.searchsorted(self.keys, keys)
-        size = self.size[at][back]
-        rows = len(words.offsets) - 1
-        counts = np.bincount(words.row, size, rows).astype(np.int64) + 1
-        bounds = np.append(0, np.cumsum(counts))
+        own = np.empty(len(keys), np.int64)
+        own[order] = at
+        size = self.size[own][back]
+        after = np.zeros(len(size) + 1, np.int64)
+        np.cumsum(size, out=after[1:])
+        bounds = after[found.first] + np.arange(len(offsets))
+        kind = np.int32 if len(self.ids) + after[-1] < 1 << 31 else np.int64
+        index = np.repeat((self.begin[own][back] - after[:-1]).astype(kind), size)
+        index += np.arange(after[-1], dtype=kind)
         out = np.full(int(bounds[-1]), end, np.int32)
-        place = np.cumsum(size) - size + words.row  # one end before each row's words, but for the first
-        into = np.repeat(place, size) + np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-        out[into] = self.ids[np.repeat(self.begin[at][back], size) + np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)]
+        inner = np.ones(len(out), bool)
+        inner[bounds[1:] - 1] = False
+        out[inner] = self.ids[index]
         return out, bounds
 
 
@@ -257,7 +386,7 @@ def _tokens(path: str, end: int, width: np.dtype):
         tokens = WordTokens.of(path)
         for batch in batches:
             for lo, hi, data, offsets in chunks(batch["text"]):
-                ids, bounds = tokens.encode(Words(data, offsets), end)
+                ids, bounds = tokens.encode(data, offsets, end)
                 raw = text_array(ids.astype(width).view(np.uint8), bounds * width.itemsize, binary=True)
                 yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(lo, hi - lo), raw], ["doc_id", "ids"])
 
@@ -277,7 +406,7 @@ def _moments(width: np.dtype, router):
         total = np.zeros((COLUMNS, COLUMNS + 1))
         for batch in batches:
             for _, _, ids, bounds in _ids(batch["ids"], width):
-                for x in router.value.vectors(ids, bounds, 256):
+                for x in router.value.vectors(ids, bounds, 512):
                     x = np.rint(x * STEPS)
                     total[:, :-1] += x.T @ x
                     total[:, -1] += x.sum(0)
