@@ -35,6 +35,8 @@ from .words import SEPARATOR, chunks, hashes, mix, text_array, text_buffer
 K1, B = 1.2, 0.75
 #: Distinct parts of words that a worker remembers the token ids of before it starts anew, also if they have four times as many ids.
 REMEMBERED = 1 << 20
+#: Bytes of text that are parted at once: about 30 bytes of memory each.
+TEXT_BYTES = 1 << 20
 #: Words that are tokenized as one text.
 JOINED = 512
 #: The normalizer, and the splits after it, of tokenizers whose words fall into parts by kinds of characters.
@@ -137,19 +139,22 @@ class WordTokens:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, models, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        steps = json.loads(self.tokenizer.to_str())
-        model, added = steps["model"], [t["content"] for t in steps["added_tokens"]]
-        last = model.get("end_of_word_suffix")
-        self.plain = None
-        if (steps["normalizer"], steps["pre_tokenizer"]) == (NORMAL, PARTS) and model["type"] == "BPE" and last and not model["dropout"] and all("<" in t for t in added):
-            self.plain = Tokenizer.from_file(path)
-            self.plain.normalizer = normalizers.Sequence([])
-            self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.steps = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        model, added = self.tokenizer.model, self.tokenizer.get_added_tokens_decoder().values()
+        self.split = (
+            isinstance(model, models.BPE)
+            and bool(model.end_of_word_suffix)
+            and not model.dropout
+            and [x and json.loads(x.__getstate__()) for x in self.steps] == [NORMAL, PARTS]
+            and all("<" in t.content for t in added)
+        )
+        if self.split:
+            self.plain_steps = normalizers.Sequence([]), pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
             self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)
-            self.last[[i for t, i in model["vocab"].items() if t.endswith(last)]] = True
+            self.last[[i for t, i in self.tokenizer.get_vocab(False).items() if t.endswith(model.end_of_word_suffix)]] = True
         self.clear()
 
     @classmethod
@@ -165,7 +170,7 @@ class WordTokens:
     def encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of the words one after the other, and how many each has; a token belongs to the word it starts in."""
         ids, size = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
-        for part, found in self._batches(self.tokenizer, texts):
+        for part, found in self._batches(texts):
             ends = np.cumsum([len(t) + 1 for t in part])
             start = np.fromiter(chain.from_iterable(found.offsets), np.int64, 2 * len(found))[::2]
             ids.append(np.array(found.ids, np.int32))
@@ -174,27 +179,28 @@ class WordTokens:
 
     def encoded_plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The same for plain parts; each ends with the only token that says it is the last one."""
-        ids, size = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
-        for part, found in self._batches(self.plain, texts):
-            own = np.array(found.ids, np.int32)
-            ends = np.flatnonzero(self.last[own]) + 1
-            if len(ends) != len(part) or ends[-1] != len(own):
-                own, n = self.encoded(part)
-            else:
-                n = np.diff(ends, prepend=0)
-            ids.append(own)
-            size.append(n)
-        return np.concatenate(ids), np.concatenate(size)
-
-    @staticmethod
-    def _batches(tokenizer, texts: list[str]) -> Iterator[tuple[list[str], object]]:
+        if not texts:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        ids, size, wrong = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], False
+        self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = self.plain_steps
+        try:
+            for part, found in self._batches(texts):
+                ids.append(np.array(found.ids, np.int32))
+                ends = np.flatnonzero(self.last[ids[-1]]) + 1
+                size.append(np.diff(ends, prepend=0))
+                wrong |= len(ends) != len(part) or ends[-1] != len(ids[-1])
+        finally:
+            self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = self.steps
+        return self.encoded(texts) if wrong else (np.concatenate(ids), np.concatenate(size))
+
+    def _batches(self, texts: list[str]) -> Iterator[tuple[list[str], object]]:
         """Parts of ``texts`` and what the tokenizer makes of each, a few thousand words at a time."""
         for lo in range(0, len(texts), 16 * JOINED):
             parts = [texts[i : i + JOINED] for i in range(lo, min(lo + 16 * JOINED, len(texts)), JOINED)]
-            yield from zip(parts, tokenizer.encode_batch([" ".join(p) for p in parts], add_special_tokens=False))
+            yield from zip(parts, self.tokenizer.encode_batch([" ".join(p) for p in parts], add_special_tokens=False))
 
     def learn(self, keys: np.ndarray, texts: list[str], plain: np.ndarray) -> None:
-        """Remember the parts ``texts``, the plain ones first."""
+        """Remember the parts ``texts`` by their sorted ``keys``."""
         order = np.argsort(~plain, kind="stable")
         n = int(plain.sum())
         texts = [texts[i] for i in order.tolist()]
@@ -202,13 +208,14 @@ class WordTokens:
         size = np.append(m, k).astype(np.int32)
         begin = (len(self.ids) + np.cumsum(size) - size).astype(np.int32)
         self.ids = np.concatenate([self.ids, a, b])
-        keys, begin, size = np.append(self.keys, keys[order]), np.append(self.begin, begin), np.append(self.size, size)
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.begin, self.size = keys[order], begin[order], size[order]
+        back = np.argsort(order)  # keys come sorted
+        at = np.searchsorted(self.keys, keys)
+        self.begin, self.size = np.insert(self.begin, at, begin[back]), np.insert(self.size, at, size[back])
+        self.keys = np.insert(self.keys, at, keys)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of all rows, each followed by ``end``, and the rows' offsets in them."""
-        found = pieces(data, offsets, self.plain is not None)
+        found = pieces(data, offsets, self.split)
         seen = pa.Array.from_buffers(pa.large_binary(), len(found.starts), [None, pa.py_buffer(np.append(found.starts, len(found.data))), pa.py_buffer(found.data)]).dictionary_encode()
         words, back = seen.dictionary, seen.indices.to_numpy()
         keys = hashes(*text_buffer(words))
@@ -385,7 +392,7 @@ def _tokens(path: str, end: int, width: np.dtype):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = WordTokens.of(path)
         for batch in batches:
-            for lo, hi, data, offsets in chunks(batch["text"]):
+            for lo, hi, data, offsets in chunks(batch["text"], TEXT_BYTES):
                 ids, bounds = tokens.encode(data, offsets, end)
                 raw = text_array(ids.astype(width).view(np.uint8), bounds * width.itemsize, binary=True)
                 yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(lo, hi - lo), raw], ["doc_id", "ids"])
@@ -406,7 +413,7 @@ def _moments(width: np.dtype, router):
         total = np.zeros((COLUMNS, COLUMNS + 1))
         for batch in batches:
             for _, _, ids, bounds in _ids(batch["ids"], width):
-                for x in router.value.vectors(ids, bounds, 512):
+                for x in router.value.vectors(ids, bounds, 256):
                     x = np.rint(x * STEPS)
                     total[:, :-1] += x.T @ x
                     total[:, -1] += x.sum(0)

@@ -53,3 +53,16 @@ def test_memory_of_ids_is_bounded(monkeypatch):
     for c in "bcdfg":
         tokens.encode(*text_buffer(pa.array([f"{c}xqz" * 40], pa.string())), 2)
         assert len(np.unique(tokens.keys)) == len(tokens.keys) <= 1
+
+
+def test_a_batch_is_parted_in_small_chunks_by_one_tokenizer(monkeypatch):
+    """A worker's arrays follow ``TEXT_BYTES``, not the batch, and it holds one tokenizer, in its own state again after plain parts."""
+    monkeypatch.setattr(packing, "TEXT_BYTES", 100)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40)), pa.array([f"word{i} " * 5 for i in range(40)])], ["doc_id", "text"])
+    found = list(packing._tokens(TOKENIZER, 2, np.dtype("<u2"))(iter([batch])))
+    assert len(found) >= 10 and sum(len(b) for b in found) == 40
+    tokens = packing.WordTokens(TOKENIZER)
+    before = tokens.tokenizer.to_str()
+    tokens.encode(*text_buffer(batch["text"]), 2)
+    assert tokens.split and tokens.tokenizer.to_str() == before
+    assert sum(type(v) is type(tokens.tokenizer) for v in vars(tokens).values()) == 1
