@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import small_batches
 from .phases import Phases
 from .words import SEPARATOR, chunks, hashes, mix, text_array, text_buffer
 
@@ -406,6 +407,21 @@ def _ids(column: pa.Array, width: np.dtype) -> Iterator[tuple[int, int, np.ndarr
         yield lo, hi, data.view(width).astype(np.int32), offsets // width.itemsize
 
 
+def _shards(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """(doc_ids, bytes, offsets) of about ``size`` bytes of ids, wherever the batches end."""
+    rest = None
+    for batch in batches:
+        rest = batch if rest is None else pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
+        begin, n = 0, len(rest)
+        for lo, hi, data, offsets in chunks(rest["ids"], size):
+            begin = lo
+            if hi < n:
+                yield rest["doc_id"].slice(lo, hi - lo), data, offsets
+        rest = rest.slice(begin) if n else None
+    for lo, hi, data, offsets in chunks(rest["ids"], size) if rest is not None else ():
+        yield rest["doc_id"].slice(lo, hi - lo), data, offsets
+
+
 def _moments(width: np.dtype, router):
     """For each column, its sums of products with all columns and, last, its own sum, over the documents' vectors in ``STEPS``."""
 
@@ -485,15 +501,14 @@ def _pack(width: np.dtype, size: int, shard_tokens: int, kind: pa.DataType, corp
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 32
         packer = Packer(size, iter(range(first, first + (1 << 32))))
-        for batch in batches:
-            for lo, hi, data, offsets in chunks(batch["ids"], shard_tokens * width.itemsize):
-                ids, bounds = data.view(width).astype(np.int32), offsets // width.itemsize
-                packer.fill(Shard(ids, bounds, corpus.value), batch["doc_id"].slice(lo, hi - lo).to_pylist(), ids, bounds)
-                # pieces of the open sequence wait, as it may be cut once more
-                done = [p for p in packer.pieces if p[4] != packer.sequence]
-                packer.pieces = [p for p in packer.pieces if p[4] == packer.sequence]
-                if done:
-                    yield batch_of(done)
+        for docs, data, offsets in _shards(batches, shard_tokens * width.itemsize):
+            ids, bounds = data.view(width).astype(np.int32), offsets // width.itemsize
+            packer.fill(Shard(ids, bounds, corpus.value), docs.to_pylist(), ids, bounds)
+            # pieces of the open sequence wait, as it may be cut once more
+            done = [p for p in packer.pieces if p[4] != packer.sequence]
+            packer.pieces = [p for p in packer.pieces if p[4] == packer.sequence]
+            if done:
+                yield batch_of(done)
         packer.close()
         if packer.pieces:
             yield batch_of(packer.pieces)
@@ -548,6 +563,7 @@ def pack(docs: DataFrame, tokenizer: str, end: int = 2, size: int = 4096, shard_
 
     spark = docs.sparkSession
     phases = Phases(spark, "packing")
+    small_batches(spark)
     tokens = max(Tokenizer.from_file(tokenizer).get_vocab_size(), end + 1)
     width = np.dtype("<u2" if tokens <= 1 << 16 else "<u4")
     docs = docs.select("doc_id", "text")

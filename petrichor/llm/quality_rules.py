@@ -12,6 +12,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .phases import Phases, computed_once
@@ -135,7 +136,9 @@ def judged(docs: DataFrame, limits: Limits = Limits(), sample_rows: int = 1000,
     checks = rules(limits)
     spark, sample = docs.sparkSession, docs.select(text)
     # collecting a limit reads as few partitions as hold that many rows; a limit inside a plan would read from each
-    sample = spark.createDataFrame(sample.limit(sample_rows).collect(), sample.schema)
+    rows = [r[0] for r in sample.limit(sample_rows).collect()]
+    # as an Arrow table, since rows would start Python workers, which stay beside the later stages
+    sample = spark.createDataFrame(pa.table([pa.array(rows, pa.string())], [text]), sample.schema)
     sample = Phases(spark, "quality").land(measured(sample, text), "sample")
     order = cascade_order(sample, checks)
     out = measured(docs, text).withColumn("__q_base_failed", base_failed(limits))
